@@ -6,8 +6,8 @@ ranks are bracketed by a bounded sketch, the brackets are narrowed by counting
 passes, and only the values inside a bracket small enough for one task are
 sorted. What reaches the driver is a few numbers per (group, column, rank).
 
-Passes over the data: 2 for small tables, 3 up to some hundred million distinct
-values, one more for each further factor of about a thousand.
+Passes over the data: 2 for small tables, 3 up to some ten million distinct
+values, one more for each further factor of some hundred.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from pyspark.sql.window import Window
 
 from millrace.functions.columns import col
 
-GRID = 4000
-ACCURACY = 40_000
+GRID = 1000
+ACCURACY = 10_000
 SORTABLE = 250_000
 MAX_GROUPS = 10_000
 
@@ -89,6 +89,11 @@ class _Bracket:
         return self.low == -math.inf and self.high == math.inf
 
 
+def _even_grid(cells: int) -> Column:
+    """Array ``0, 1/cells .. 1`` as one foldable literal; thousands of literal nodes would slow the planner down."""
+    return F.split(F.lit(",".join(repr(i / cells) for i in range(cells + 1))), ",").cast("array<double>")
+
+
 def _narrow(outer: _Bracket, first: int, last: int, margin: int) -> _Bracket:
     """Sub-range of ``outer`` around local ranks, from its sketch."""
     grid = outer.grid
@@ -122,7 +127,7 @@ def order_stats(
     number = [F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in columns]
     base = df.select(*[col(b).alias(f"g{i}") for i, b in enumerate(by)], *[x.alias(f"v{i}") for i, x in enumerate(number)])
     keys = [f"g{i}" for i in range(len(by))]
-    probs = [i / grid for i in range(grid + 1)]
+    probs = _even_grid(grid)
 
     first = [F.struct(
         F.count(f"v{i}").alias("inside"),
