@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +22,7 @@ def categories(df: DataFrame, name: str, limit: int = MAX_WIDE) -> list[str]:
     """Sorted distinct values of a column that is to become columns; refuses what no table can hold."""
     rows = df.select(col(name).alias("v")).where(F.col("v").isNotNull()).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"{name!r} has more than {limit} values: use one_hot_vector")
+        raise ValueError(f"{name!r} has more than {limit} values: use fit_one_hot_vector")
     return sorted(r["v"] for r in rows)
 
 
@@ -34,11 +34,20 @@ def one_hot(df: DataFrame, name: str, values: Sequence[str] | None = None, prefi
     return df.select("*", *new)
 
 
-def one_hot_vector(name: str, output: str | None = None) -> Pipeline:
-    """The same encoding as one sparse vector, for many values: the first value in order is the one left out."""
-    index = StringIndexer(inputCol=name, outputCol=f"{name}_index", stringOrderType="alphabetDesc", handleInvalid="keep")
-    hot = OneHotEncoder(inputCol=f"{name}_index", outputCol=output or f"{name}_vector", dropLast=False)
-    return Pipeline(stages=[index, hot])
+def fit_one_hot_vector(df: DataFrame, name: str, output: str | None = None) -> PipelineModel:
+    """The same encoding as one sparse vector, for many values.
+
+    The first value in order is the one left out; a missing value is read as
+    that first value and so becomes all zeros too.
+    """
+    first = df.agg(F.min(col(name))).first()[0]
+    if first is None:
+        raise ValueError(f"column {name!r} has no values to encode")
+    quoted = first.replace("\\", "\\\\").replace("'", "\\'")
+    fill = SQLTransformer(statement=f"SELECT *, coalesce(`{name}`, '{quoted}') AS `{name}_filled` FROM __THIS__")
+    index = StringIndexer(inputCol=f"{name}_filled", outputCol=f"{name}_index", stringOrderType="alphabetDesc")
+    hot = OneHotEncoder(inputCol=f"{name}_index", outputCol=output or f"{name}_vector", dropLast=True)
+    return Pipeline(stages=[fill, index, hot]).fit(df)
 
 
 def unused_columns(roles: Roles = Roles(), keep_label: bool = False) -> list[str]:
