@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col
-from millrace.operators.clean import MAX_DISCRETE, constant_columns, distinct_at_most, fence_counts
+from millrace.operators.clean import MAX_DISCRETE, distinct_at_most, fence_counts
 from millrace.operators.quantiles import order_stats
 from millrace.roles import ROUTE_PREFIX, numeric_columns
 
@@ -62,34 +63,62 @@ def class_distribution(df: DataFrame, name: str) -> DataFrame:
     return counts.join(F.broadcast(total)).select("class", "n", (F.lit(100.0) * F.col("n") / F.col("total")).alias("pct"))
 
 
+def _numeric_profile(df: DataFrame) -> tuple[int, dict[str, tuple[int, bool, float | None]]]:
+    """Rows, and per numeric column without indicator blocks: (values, varies, mean); one pass."""
+    names = [c for c in numeric_columns(df) if not c.startswith(ROUTE_PREFIX)]
+    row = df.agg(F.count("*").alias("rows"), *[
+        F.struct(F.count(col(c)).alias("n"), (F.min(col(c)) < F.max(col(c))).alias("spread"),
+                 F.avg(col(c).cast("double")).alias("mean")).alias(f"c{i}") for i, c in enumerate(names)]).first()
+    out = {}
+    for i, c in enumerate(names):
+        s = row[f"c{i}"]
+        # NULL counts as a value of its own
+        out[c] = (s["n"], bool(s["spread"]) or 0 < s["n"] < row["rows"], s["mean"])
+    return row["rows"], out
+
+
 def correlation_columns(df: DataFrame) -> list[str]:
     """Numeric columns that vary, without indicator blocks."""
-    names = [c for c in numeric_columns(df) if not c.startswith(ROUTE_PREFIX)]
-    fixed = set(constant_columns(df.select(*[col(c) for c in names]))) if names else set()
-    return [c for c in names if c not in fixed]
+    return [c for c, (_, varies, _m) in _numeric_profile(df)[1].items() if varies]
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Upper triangle of the Pearson matrix as ``(feature_a, feature_b, corr)``, pairwise complete.
 
-    One aggregate over the table per ``PAIRS_PER_PASS`` pairs; what is shuffled
-    is a fixed number of moments per task.
+    Columns without gaps are centred by their means first, so that a pair costs
+    one running sum; only pairs with gaps need the six moments of ``corr``. The
+    names of a pair are in alphabetical order.
     """
-    columns = list(columns or correlation_columns(df))
+    rows, known = _numeric_profile(df)
+    columns = sorted(columns if columns is not None else [c for c in known if known[c][1]])
     pairs = list(combinations(columns, 2))
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double")
+    dense = {c for c in columns if known[c][0] == rows and rows}
+    centred = {c: col(c).cast("double") - F.lit(known[c][2]) for c in dense}
+    simple = [(a, b) for a, b in pairs if a in dense and b in dense]
+    gappy = [p for p in pairs if p not in set(simple)]
     parts = []
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start:start + PAIRS_PER_PASS]
+    for chunk in _chunks(simple, PAIRS_PER_PASS):
+        used = sorted({c for p in chunk for c in p})
+        at = {c: i for i, c in enumerate(used)}
+        row = df.agg(*[F.sum(centred[c] * centred[c]).alias(f"s{i}") for c, i in at.items()],
+                     *[F.sum(centred[a] * centred[b]).alias(f"p{i}") for i, (a, b) in enumerate(chunk)])
+        scale = {c: F.sqrt(F.col(f"s{i}")) for c, i in at.items()}
+        parts.append(_pair_table(row, chunk, [F.try_divide(F.col(f"p{i}"), scale[a] * scale[b]) for i, (a, b) in enumerate(chunk)]))
+    for chunk in _chunks(gappy, PAIRS_PER_PASS // 4):
         row = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(chunk)])
-        entries = [F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"p{i}").alias("corr"))
-                   for i, (a, b) in enumerate(chunk)]
-        parts.append(row.select(F.inline(F.array(*entries))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts.append(_pair_table(row, chunk, [F.col(f"p{i}") for i in range(len(chunk))]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _chunks(items: list, size: int) -> list[list]:
+    return [items[i:i + size] for i in range(0, len(items), size)]
+
+
+def _pair_table(row: DataFrame, pairs, values) -> DataFrame:
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), v.alias("corr")) for (a, b), v in zip(pairs, values)])))
 
 
 def correlation_shift(full: DataFrame, part: DataFrame, k: int = 10) -> DataFrame:
