@@ -5,13 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import col
-from millrace.operators import chartdata, clean, encode, explain, features, metrics, neighbors, outliers, profile, select, split, stats
-from millrace.plans import preprocess
+from millrace.operators import (
+    chartdata, clean, cluster, encode, explain, features, kernel, metrics, models, neighbors, outliers, profile, select, split, stats, tuning,
+)
+from millrace.operators.models import BOOSTINGS, FORESTS
+from millrace.plans import experiments, preprocess
+from millrace.plans.experiments import Holdout, make_holdout
 from millrace.roles import Roles, numeric_columns
 from millrace.session import shared_dir, staged
 from millrace.sources import tables
@@ -137,7 +143,6 @@ def route_onehot(spark, d):
 @query
 def route_onehot_vector(spark, d):
     df = lab(spark, d, big=True)
-    from pyspark.ml.functions import vector_to_array
     out = encode.fit_one_hot_vector(df, "route").transform(df)
     hot = F.array_max(vector_to_array("route_vector"))
     return out.groupBy("route").agg(F.count("*").alias("n"), F.sum(hot).alias("ones"), F.max(F.size(vector_to_array("route_vector"))).alias("width"))
@@ -477,3 +482,152 @@ def interaction_pairs(spark, d):
     # one row per feature and a one-row total
     share = scores.join(F.broadcast(total)).select("feature", (F.col("f_score") / F.col("total")).alias("importance"))
     return rounded(explain.interaction_pairs(share))
+
+
+# ---- learners: rows-only checks -------------------------------------------------------
+# Budgets are small because one machine runs all of them; every fit sees all training rows.
+
+SMALL = {"trees": 8, "depth": 6}
+
+
+def small_forest(name: str):
+    return FORESTS[name].scaled(**SMALL)
+
+
+def small_boosting(name: str):
+    return BOOSTINGS[name].scaled(rounds=8, depth=4)
+
+
+def holdout_of(spark, d, stratified=False) -> Holdout:
+    keep = [KEY, TARGET, "outlier_type", *MODEL]
+    return make_holdout(staged(lab(spark, d).select(*keep), "labelled"), names=MODEL, stratified=stratified)
+
+
+@query
+def report_json(spark, d):
+    p = preprocess.prepare(obs(spark, d), OBS_ROLES)
+    path = f"{shared_dir(spark)}/report-{spark.sparkContext.applicationId}-{abs(hash(d)) % 10**8}"
+    row = preprocess.report(p)
+    tables.write_report(row, path)
+    return spark.read.schema(row.schema).json(path).select(
+        "target", "shape", "quality", "outlier_counts", "interpretation", F.size("cleaning").alias("cleaning_entries"),
+        F.size("top_routes").alias("top_route_entries"), F.size("correlation_shift").alias("shift_entries"))
+
+
+@query
+def model_roundtrip(spark, d):
+    h = holdout_of(spark, d)
+    done = experiments.final_training(h, small_forest("final"))
+    path = f"{shared_dir(spark)}/model-{spark.sparkContext.applicationId}-{abs(hash(d)) % 10**8}"
+    done.save(path)
+    again = h.scored(RandomForestRegressionModel.load(f"{path}/model")).select(KEY, F.col("prediction").alias("reloaded"))
+    both = h.scored(done.model).select(KEY, "prediction").join(again, KEY)
+    return both.agg(F.count("*").alias("n"), F.max(F.abs(F.col("prediction") - F.col("reloaded"))).alias("largest_difference"))
+
+
+@query
+def rf_holdout(spark, d):
+    h = holdout_of(spark, d)
+    model = h.forest(small_forest("single"))
+    preds = metrics.predictions(h.scored(model))
+    axis = metrics.prediction_range(preds)
+    return metrics.regression_metrics(preds).join(F.broadcast(axis))  # one row each
+
+
+@query
+def rf_weighted(spark, d):
+    done = experiments.final_training(holdout_of(spark, d), small_forest("final"))
+    return done.weights.join(F.broadcast(done.metrics))  # one row of metrics
+
+
+@query
+def rf_classifier(spark, d):
+    h = holdout_of(spark, d, stratified=True)
+    context = encode.context_columns(h.train)
+    model = models.fit_once(models.forest_classifier(small_forest("classifier")), encode.assembled(h.train, context, "target_class"))
+    return metrics.classification_metrics(model.transform(encode.assembled(h.test, context, "target_class")), "label", "prediction")
+
+
+@query
+def gbt_holdout(spark, d):
+    h = holdout_of(spark, d)
+    return metrics.comparison({n: h.metrics(h.boosting(small_boosting(n))) for n in ("comparison", "voting")})
+
+
+@query
+def kernel_reg(spark, d):
+    h = holdout_of(spark, d)
+    model = kernel.fit_kernel_regression(h.train, h.features, TARGET, "sample_weight", size=64, iterations=20)
+    return metrics.regression_metrics(model.transform(h.test), TARGET, "prediction")
+
+
+@query
+def kmeans_clusters(spark, d):
+    h = holdout_of(spark, d)
+    return cluster.fit_clusters(h.train, h.features, restarts=10).summary(h.train, TARGET)
+
+
+@query
+def algorithm_tournament(spark, d):
+    t = experiments.tournament(holdout_of(spark, d), small_forest("baseline"), small_boosting("comparison"), waves=64, restarts=3)
+    return t.before.join(t.change, "model")
+
+
+@query
+def voting(spark, d):
+    h = holdout_of(spark, d)
+    _, table, _ = experiments.voting(h, small_forest("baseline"), small_forest("voting"), small_boosting("voting"))
+    return table
+
+
+@query
+def dual_routing(spark, d):
+    both = experiments.single_vs_dual(holdout_of(spark, d, stratified=True), small_forest("single"), small_forest("classifier"))
+    return both.comparison
+
+
+@query
+def outlier_experiment(spark, d):
+    done = experiments.outlier_experiment(holdout_of(spark, d), small_forest("experiment"))
+    return done.metrics.join(F.broadcast(done.removed))  # one row of counts
+
+
+@query
+def grid_search(spark, d):
+    grid = {"numTrees": [4, 8], "maxDepth": [4, 6], "minInstancesPerNode": [1, 2, 5]}
+    h = holdout_of(spark, d)
+    data = h.vectors(split.with_fold(h.train, KEY, 3))
+    return tuning.grid_search(data, models.forest_regressor(small_forest("baseline"), "sample_weight"), grid, parallelism=4).leaders()
+
+
+@query
+def tuned_model(spark, d):
+    done = experiments.tune(holdout_of(spark, d), {"maxDepth": [4, 6], "minInstancesPerNode": [1, 5]}, small_forest("baseline"), parallelism=4)
+    return done.comparison.join(done.cv, "model")
+
+
+@query
+def cv_scores(spark, d):
+    h = holdout_of(spark, d)
+    table, _ = experiments.regularised(h, small_forest("baseline"), small_forest("regularised"), parallelism=4)
+    return table
+
+
+@query
+def importance(spark, d):
+    h = holdout_of(spark, d)
+    return explain.importances(spark, h.forest(small_forest("baseline")), h.features)
+
+
+@query
+def tree_disagreement(spark, d):
+    h = holdout_of(spark, d)
+    done = experiments.explained(h, small_forest("baseline"))
+    return done.uncertain.join(F.broadcast(done.disagreement))  # one row of totals
+
+
+@query
+def optimisation_chain(spark, d):
+    h = holdout_of(spark, d)
+    return experiments.optimise(h, small_forest("baseline"), small_forest("voting"), small_boosting("voting"), small_forest("regularised"),
+                                parallelism=4).log
