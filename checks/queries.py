@@ -319,7 +319,7 @@ def corr_long(spark, d):
 @query
 def corr_shift(spark, d):
     df = lab(spark, d).drop(KEY)
-    return rounded(stats.correlation_shift(df, df.where(outliers.is_outlier())))
+    return rounded(stats.correlation_shift(df, outliers.is_outlier()))
 
 
 @query

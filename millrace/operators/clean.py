@@ -66,16 +66,16 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def distinct_at_most(df: DataFrame, columns: Sequence[str], limit: int) -> set[str]:
     """Columns with at most ``limit`` distinct non-null values, decided exactly.
 
-    A bounded sketch clears the columns that are far above the limit; only the
-    doubtful ones are counted, and those have few values per map task to shuffle.
+    A bounded sketch clears the columns that are far above the limit; the
+    doubtful ones have so few values that each task can list them.
     """
     if not columns:
         return set()
-    rough = df.agg(*[F.approx_count_distinct(col(c), 0.02).alias(f"a{i}") for i, c in enumerate(columns)]).first()
+    rough = df.agg(*[F.approx_count_distinct(col(c)).alias(f"a{i}") for i, c in enumerate(columns)]).first()
     doubtful = [c for i, c in enumerate(columns) if rough[i] <= 4 * limit + 10]
     if not doubtful:
         return set()
-    sure = df.agg(*[F.count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(doubtful)]).first()
+    sure = df.agg(*[F.size(F.collect_set(col(c))).alias(f"d{i}") for i, c in enumerate(doubtful)]).first()
     return {c for i, c in enumerate(doubtful) if sure[i] <= limit}
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -63,72 +63,122 @@ def class_distribution(df: DataFrame, name: str) -> DataFrame:
     return counts.join(F.broadcast(total)).select("class", "n", (F.lit(100.0) * F.col("n") / F.col("total")).alias("pct"))
 
 
-def _numeric_profile(df: DataFrame) -> tuple[int, dict[str, tuple[int, bool, float | None]]]:
-    """Rows, and per numeric column without indicator blocks: (values, varies, mean); one pass."""
-    names = [c for c in numeric_columns(df) if not c.startswith(ROUTE_PREFIX)]
-    row = df.agg(F.count("*").alias("rows"), *[
-        F.struct(F.count(col(c)).alias("n"), (F.min(col(c)) < F.max(col(c))).alias("spread"),
-                 F.avg(col(c).cast("double")).alias("mean")).alias(f"c{i}") for i, c in enumerate(names)]).first()
+@dataclass(frozen=True)
+class _Profile:
+    rows: int
+    values: int
+    low: float | None
+    high: float | None
+    total: float
+
+    @property
+    def varies(self) -> bool:
+        """More than one value, NULL being a value of its own."""
+        return 0 < self.values < self.rows or (self.values > 0 and self.low < self.high)
+
+    @property
+    def dense(self) -> bool:
+        return 0 < self.values == self.rows
+
+    def __add__(self, other: _Profile) -> _Profile:
+        ends = [x for x in (self.low, other.low) if x is not None], [x for x in (self.high, other.high) if x is not None]
+        return _Profile(self.rows + other.rows, self.values + other.values, min(ends[0], default=None), max(ends[1], default=None),
+                        self.total + other.total)
+
+
+def _profiles(df: DataFrame, names: Sequence[str], part: Column) -> dict[bool, dict[str, _Profile]]:
+    """Count, range and sum of every column, for the rows in and outside of ``part``; one pass."""
+    base = df.select(part.alias("part"), *[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    aggs = [F.expr(f"struct(count(x{i}) n, min(x{i}) lo, max(x{i}) hi, sum(x{i}) s) as c{i}") for i in range(len(names))]
     out = {}
-    for i, c in enumerate(names):
-        s = row[f"c{i}"]
-        # NULL counts as a value of its own
-        out[c] = (s["n"], bool(s["spread"]) or 0 < s["n"] < row["rows"], s["mean"])
-    return row["rows"], out
+    for row in base.groupBy("part").agg(F.count("*").alias("rows"), *aggs).collect():
+        cells = [row[f"c{i}"] for i in range(len(names))]
+        out[row["part"]] = {c: _Profile(row["rows"], s["n"], s["lo"], s["hi"], s["s"] or 0.0) for c, s in zip(names, cells)}
+    return out
 
 
-def correlation_columns(df: DataFrame) -> list[str]:
-    """Numeric columns that vary, without indicator blocks."""
-    return [c for c, (_, varies, _m) in _numeric_profile(df)[1].items() if varies]
+def _products(df: DataFrame, names: Sequence[str], centre: dict[str, float], dense: set[str], pairs, part: Column) -> dict[bool, list]:
+    """Per pair the moments ``(n, sa, sb, saa, sbb, sab)`` around the centre, by ``part``; they add up across parts.
+
+    Columns without gaps share their own sums, so that a pair costs one running sum.
+    """
+    at = {c: i for i, c in enumerate(names)}
+    base = df.select(part.alias("part"), *[(col(c).cast("double") - F.lit(centre[c])).alias(f"d{i}") for c, i in at.items()])
+    out: dict[bool, list] = {}
+    for start in range(0, len(pairs), PAIRS_PER_PASS):
+        chunk = pairs[start:start + PAIRS_PER_PASS]
+        used = sorted({c for p in chunk if p[0] in dense and p[1] in dense for c in p})
+        aggs = [e for c in used for e in (f"sum(d{at[c]}) as s{at[c]}", f"sum(d{at[c]} * d{at[c]}) as q{at[c]}")]
+        for n, (a, b) in enumerate(chunk):
+            x, y = f"d{at[a]}", f"d{at[b]}"
+            if a in dense and b in dense:
+                aggs.append(f"sum({x} * {y}) as p{n}")
+            else:
+                both = f"{x} is not null and {y} is not null"
+                aggs += [f"count_if({both}) as n{n}", f"sum(if({both}, {x}, null)) as sa{n}", f"sum(if({both}, {y}, null)) as sb{n}",
+                         f"sum(if({both}, {x} * {x}, null)) as qa{n}", f"sum(if({both}, {y} * {y}, null)) as qb{n}", f"sum({x} * {y}) as p{n}"]
+        for row in base.groupBy("part").agg(F.count("*").alias("rows"), *[F.expr(e) for e in aggs]).collect():
+            got = out.setdefault(row["part"], [])
+            for n, (a, b) in enumerate(chunk):
+                if a in dense and b in dense:
+                    i, j = at[a], at[b]
+                    got.append((row["rows"], row[f"s{i}"], row[f"s{j}"], row[f"q{i}"], row[f"q{j}"], row[f"p{n}"]))
+                else:
+                    got.append(tuple(row[f"{k}{n}"] or 0.0 for k in ("n", "sa", "sb", "qa", "qb", "p")))
+    return out
+
+
+def _pearson(moments) -> float | None:
+    n, sa, sb, qa, qb, p = moments
+    if n < 2:
+        return None
+    va, vb = qa - sa * sa / n, qb - sb * sb / n
+    return (p - sa * sb / n) / (va * vb) ** 0.5 if va > 0 and vb > 0 else None
+
+
+def correlation_candidates(df: DataFrame) -> list[str]:
+    """Numeric columns without indicator blocks; the names of a pair come in alphabetical order."""
+    return sorted(c for c in numeric_columns(df) if not c.startswith(ROUTE_PREFIX))
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Upper triangle of the Pearson matrix as ``(feature_a, feature_b, corr)``, pairwise complete.
 
-    Columns without gaps are centred by their means first, so that a pair costs
-    one running sum; only pairs with gaps need the six moments of ``corr``. The
-    names of a pair are in alphabetical order.
+    Without a list, all numeric columns that vary. Two passes: means, then sums
+    of centred products; a fixed number of sums per task is shuffled.
+    """
+    names = sorted(columns) if columns is not None else correlation_candidates(df)
+    whole = _profiles(df, names, F.lit(True)).get(True, {}) if names else {}
+    names = [c for c in names if c in whole and (columns is not None or whole[c].varies)]
+    pairs = list(combinations(names, 2))
+    centre = {c: whole[c].total / max(whole[c].values, 1) for c in names}
+    moments = _products(df, names, centre, {c for c in names if whole[c].dense}, pairs, F.lit(True)).get(True, []) if pairs else []
+    rows = [(a, b, _pearson(m)) for (a, b), m in zip(pairs, moments)]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
+
+
+def correlation_shift(df: DataFrame, part: Column, k: int = 10) -> DataFrame:
+    """Pairs whose correlation among the rows of ``part`` differs most from that of the whole table.
+
+    Considers the columns that vary in both. Whole and part come from the same
+    two passes, as the moments of the part and of the rest add up.
     """
-    rows, known = _numeric_profile(df)
-    columns = sorted(columns if columns is not None else [c for c in known if known[c][1]])
-    pairs = list(combinations(columns, 2))
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double")
-    dense = {c for c in columns if known[c][0] == rows and rows}
-    centred = {c: col(c).cast("double") - F.lit(known[c][2]) for c in dense}
-    simple = [(a, b) for a, b in pairs if a in dense and b in dense]
-    gappy = [p for p in pairs if p not in set(simple)]
-    parts = []
-    for chunk in _chunks(simple, PAIRS_PER_PASS):
-        used = sorted({c for p in chunk for c in p})
-        at = {c: i for i, c in enumerate(used)}
-        row = df.agg(*[F.sum(centred[c] * centred[c]).alias(f"s{i}") for c, i in at.items()],
-                     *[F.sum(centred[a] * centred[b]).alias(f"p{i}") for i, (a, b) in enumerate(chunk)])
-        scale = {c: F.sqrt(F.col(f"s{i}")) for c, i in at.items()}
-        parts.append(_pair_table(row, chunk, [F.try_divide(F.col(f"p{i}"), scale[a] * scale[b]) for i, (a, b) in enumerate(chunk)]))
-    for chunk in _chunks(gappy, PAIRS_PER_PASS // 4):
-        row = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(chunk)])
-        parts.append(_pair_table(row, chunk, [F.col(f"p{i}") for i in range(len(chunk))]))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _chunks(items: list, size: int) -> list[list]:
-    return [items[i:i + size] for i in range(0, len(items), size)]
-
-
-def _pair_table(row: DataFrame, pairs, values) -> DataFrame:
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), v.alias("corr")) for (a, b), v in zip(pairs, values)])))
-
-
-def correlation_shift(full: DataFrame, part: DataFrame, k: int = 10) -> DataFrame:
-    """Pairs whose correlation in ``part`` differs most from ``full``, over the columns both can use."""
-    shared = [c for c in correlation_columns(full) if c in set(correlation_columns(part))]
-    a = correlations(full, shared).withColumnRenamed("corr", "full_corr")
-    b = correlations(part, shared).withColumnRenamed("corr", "outlier_corr")
-    delta = F.abs(F.col("outlier_corr") - F.col("full_corr"))
-    joined = a.join(b, ["feature_a", "feature_b"]).withColumn("abs_delta", delta).where(F.col("abs_delta").isNotNull())
-    return joined.orderBy(F.desc("abs_delta"), "feature_a", "feature_b").limit(k)
+    names = correlation_candidates(df)
+    split = _profiles(df, names, part)
+    if True not in split:
+        return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, full_corr double, outlier_corr double, abs_delta double")
+    whole = {c: split[True][c] + split[False][c] if False in split else split[True][c] for c in names}
+    names = [c for c in names if whole[c].varies and split[True][c].varies]
+    pairs = list(combinations(names, 2))
+    centre = {c: whole[c].total / max(whole[c].values, 1) for c in names}
+    moments = _products(df, names, centre, {c for c in names if whole[c].dense}, pairs, part)
+    rest = moments.get(False) or [(0,) * 6] * len(pairs)
+    rows = []
+    for (a, b), m, o in zip(pairs, moments[True], rest):
+        rows.append((a, b, _pearson([x + y for x, y in zip(m, o)]), _pearson(m)))
+    table = df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, full_corr double, outlier_corr double")
+    table = table.withColumn("abs_delta", F.abs(F.col("outlier_corr") - F.col("full_corr"))).where(F.col("abs_delta").isNotNull())
+    return table.orderBy(F.desc("abs_delta"), "feature_a", "feature_b").limit(k)
 
 
 def skewness(c: str | Column) -> Column:

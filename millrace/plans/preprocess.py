@@ -69,7 +69,7 @@ def report(p: Prepared) -> DataFrame:
     or hours, never on the number of rows.
     """
     roles, label = p.roles, p.labelled
-    shift = stats.correlation_shift(label.drop(roles.key), label.drop(roles.key).where(outliers.is_outlier(roles.label)))
+    shift = stats.correlation_shift(label.drop(roles.key), outliers.is_outlier(roles.label))
     counts = outliers.outlier_counts(label, roles)
     parts = [
         _nested(profile.type_audit(p.raw, roles=roles), "type_groups"),
