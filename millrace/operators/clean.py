@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import clip, col, true_or_false
-from millrace.operators.quantiles import Rank, medians, order_stats
+from millrace.operators.quantiles import SALTS, Rank, medians, order_stats
 from millrace.roles import numeric_columns
 
 FENCE = 1.5
@@ -71,12 +71,17 @@ def distinct_at_most(df: DataFrame, columns: Sequence[str], limit: int) -> set[s
     """
     if not columns:
         return set()
-    rough = df.agg(*[F.approx_count_distinct(col(c)).alias(f"a{i}") for i, c in enumerate(columns)]).first()
-    doubtful = [c for i, c in enumerate(columns) if rough[i] <= 4 * limit + 10]
+    salted = df.select(*[col(c).alias(f"v{i}") for i, c in enumerate(columns)], (F.spark_partition_id() % SALTS).alias("_salt"))
+    # combined in two levels, so that no reducer reads the partial results of all tasks
+    sketches = salted.groupBy("_salt").agg(*[
+        F.hll_sketch_agg(F.when(F.col(f"v{i}").isNotNull(), F.xxhash64(f"v{i}"))).alias(f"h{i}") for i in range(len(columns))])
+    rough = sketches.agg(*[F.hll_sketch_estimate(F.hll_union_agg(f"h{i}")).alias(f"a{i}") for i in range(len(columns))]).first()
+    doubtful = [i for i in range(len(columns)) if (rough[f"a{i}"] or 0) <= 4 * limit + 10]
     if not doubtful:
         return set()
-    sure = df.agg(*[F.size(F.collect_set(col(c))).alias(f"d{i}") for i, c in enumerate(doubtful)]).first()
-    return {c for i, c in enumerate(doubtful) if sure[i] <= limit}
+    lists = salted.groupBy("_salt").agg(*[F.collect_set(f"v{i}").alias(f"l{i}") for i in doubtful])
+    sure = lists.agg(*[F.size(F.array_distinct(F.flatten(F.collect_list(f"l{i}")))).alias(f"d{i}") for i in doubtful]).first()
+    return {columns[i] for i in doubtful if (sure[f"d{i}"] or 0) <= limit}
 
 
 @dataclass(frozen=True)

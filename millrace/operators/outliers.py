@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.functions.columns import col, percent, true_or_false
 from millrace.operators.clean import Fence
@@ -177,11 +178,19 @@ def top_routes(df: DataFrame, k: int, roles: Roles = Roles()) -> DataFrame:
 
 
 def top_routes_report(df: DataFrame, roles: Roles = Roles(), k: int = 10, k_all: int = 15) -> DataFrame:
-    out = is_outlier(roles.label)
-    parts = [("outliers", top_routes(df.where(out), k, roles)), ("normal", top_routes(df.where(~out), k, roles)),
-             ("all", top_routes(df, k_all, roles))]
-    tables = [t.select(F.lit(name).alias("scope"), "route", "mean_target") for name, t in parts]
-    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+    """``(scope, route, mean_target)`` for outliers, normal rows and all rows.
+
+    The three means come from one aggregate; the ranking limits each scope
+    before it is shuffled.
+    """
+    out, x = is_outlier(roles.label), col(roles.target)
+    scopes = {"outliers": (F.when(out, x), k), "normal": (F.when(~out, x), k), "all": (x, k_all)}
+    means = df.groupBy(col(roles.route).alias("route")).agg(*[F.avg(v).alias(s) for s, (v, _) in scopes.items()])
+    long = means.unpivot(["route"], list(scopes), "scope", "mean_target").where(F.col("mean_target").isNotNull())
+    place = F.row_number().over(Window.partitionBy("scope").orderBy(F.desc("mean_target"), F.asc_nulls_last("route")))
+    best = long.withColumn("_place", place).where(F.col("_place") <= max(k, k_all))
+    wanted = F.when(F.col("scope") == "all", k_all).otherwise(k)
+    return best.where(F.col("_place") <= wanted).select("scope", "route", "mean_target")
 
 
 def target_by_outlier(df: DataFrame, roles: Roles = Roles()) -> DataFrame:

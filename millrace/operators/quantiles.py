@@ -2,12 +2,15 @@
 
 Spark's exact ``percentile`` gathers every distinct value in one reducer, which
 does not survive a continuous column of a very large table. Here the wanted
-ranks are bracketed by a bounded sketch, the brackets are narrowed by counting
-passes, and only the values inside a bracket small enough for one task are
-sorted. What reaches the driver is a few numbers per (group, column, rank).
-
-Passes over the data: 2 for small tables, 3 up to some ten million distinct
-values, one more for each further factor of some hundred.
+ranks are bracketed by a small mergeable sketch (built per task, merged in two
+levels so that no single reducer reads the sketches of all tasks), the brackets
+are narrowed by counting passes, and only the values inside a bracket small
+enough for one task are sorted. The sketch decides where to look, never what
+the result is: a bracket is used only after counting shows that it holds the
+rank. What reaches the driver is a few numbers per (group, column, rank).
+
+Passes over the data: 2 for small tables, 3 up to about a hundred million rows,
+one more for each further factor of some hundred.
 """
 
 from __future__ import annotations
@@ -24,8 +27,9 @@ from pyspark.sql.window import Window
 from millrace.functions.columns import col
 
 GRID = 1000
-ACCURACY = 10_000
+SKETCH = 4000
 SORTABLE = 250_000
+SALTS = 256
 MAX_GROUPS = 10_000
 
 
@@ -77,11 +81,13 @@ class OrderStat:
 
 @dataclass
 class _Bracket:
+    """Closed range of values; ``between`` counts the rows strictly inside its ends."""
+
     low: float = -math.inf
     high: float = math.inf
     below: int = 0
     inside: int = 0
-    distinct: int = 0
+    between: int = 0
     grid: list[float] | None = None
 
     @property
@@ -95,7 +101,7 @@ def _even_grid(cells: int) -> Column:
 
 
 def _narrow(outer: _Bracket, first: int, last: int, margin: int) -> _Bracket:
-    """Sub-range of ``outer`` around local ranks, from its sketch."""
+    """Sub-range of ``outer`` around local ranks, from its sketch; ``inside`` is what the sketch expects there."""
     grid = outer.grid
     if not grid:
         return outer
@@ -104,7 +110,8 @@ def _narrow(outer: _Bracket, first: int, last: int, margin: int) -> _Bracket:
     b = math.ceil((last - outer.below + 1) / outer.inside * cells) + margin
     low = outer.low if a <= 0 else max(outer.low, grid[a])
     high = outer.high if b >= cells else min(outer.high, grid[b])
-    return _Bracket(low, high)
+    share = (min(b, cells) - max(a, 0)) / cells
+    return _Bracket(low, high, inside=math.ceil(share * outer.inside))
 
 
 def order_stats(
@@ -129,12 +136,8 @@ def order_stats(
     keys = [f"g{i}" for i in range(len(by))]
     probs = _even_grid(grid)
 
-    first = [F.struct(
-        F.count(f"v{i}").alias("inside"),
-        F.approx_count_distinct(f"v{i}").alias("distinct"),
-        F.percentile_approx(f"v{i}", probs, max(ACCURACY, 10 * grid)).alias("grid"),
-    ).alias(f"s{i}") for i in range(len(columns))]
-    rows = base.groupBy(*keys).agg(*first).limit(MAX_GROUPS + 1).collect()
+    rows = _two_level(base, keys, [(f"s{i}", F.lit(None), F.col(f"v{i}"), F.lit(None)) for i in range(len(columns))], probs,
+                      limit=MAX_GROUPS + 1)
     if len(rows) > MAX_GROUPS:
         raise ValueError(f"exact quantiles by {by}: more than {MAX_GROUPS} groups")
 
@@ -148,27 +151,34 @@ def order_stats(
             for j, rank in enumerate(wanted[c]):
                 if s["inside"]:
                     need[g, i, j] = rank.position(s["inside"])
-                    state[g, i, j] = _Bracket(inside=s["inside"], distinct=s["distinct"], grid=s["grid"])
+                    state[g, i, j] = _Bracket(inside=s["inside"], between=s["inside"], grid=s["grid"])
     totals = {t: b.inside for t, b in state.items()}
 
     margins = dict.fromkeys(state, 2)
     outer = dict(state)
-    open_ = {t for t, b in state.items() if b.distinct > sortable}
+    open_ = {t for t, b in state.items() if b.between > sortable}
+    again: dict[tuple[int, int, int], _Bracket] = {}
     while open_:
-        trial = {t: _narrow(outer[t], need[t][0], need[t][1], margins[t]) for t in open_}
-        found = _measure(base, keys, groups, trial, probs, grid)
+        trial = {t: again.get(t) or _narrow(outer[t], need[t][0], need[t][1], margins[t]) for t in open_}
+        # brackets that should turn out small are only counted; a sketch is made where one more step is expected
+        deep = {t: trial[t] for t in open_ if t in again or trial[t].inside > sortable // 2}
+        flat = {t: trial[t] for t in open_ if t not in deep}
+        found = _measure(base, keys, groups, deep, probs) | _measure(base, keys, groups, flat, None)
+        again = {}
         for t in list(open_):
             inner = found[t]
-            holds = inner.below <= need[t][0] and need[t][1] < inner.below + inner.inside
-            if not holds:
+            if not (inner.below <= need[t][0] and need[t][1] < inner.below + inner.inside):
                 margins[t] *= 4
                 if margins[t] > 4 * grid:
                     open_.discard(t)
                 continue
+            if inner.between > sortable and t in flat:
+                again[t] = inner
+                continue
             shrunk = inner.inside < outer[t].inside
             state[t] = outer[t] = inner
             margins[t] = 2
-            if inner.distinct <= sortable or inner.low == inner.high or not shrunk:
+            if inner.between <= sortable or not shrunk:
                 open_.discard(t)
 
     picked = _select(base, df, columns, keys, groups, state, need)
@@ -213,27 +223,47 @@ def _bounds(base: DataFrame, keys: list[str], groups: list[tuple], brackets: dic
     return joined, {(i, j): (F.col(f"lo_{i}_{j}"), F.col(f"hi_{i}_{j}")) for i, j in slots}
 
 
-def _measure(base, keys, groups, brackets, probs, grid) -> dict:
+def _two_level(df: DataFrame, keys: list[str], ranges, probs: Column | None, limit: int | None = None) -> list:
+    """Per group and range ``(name, is_below, value_inside, is_between)``: counts and a sketch of the values inside.
+
+    Tasks are first combined in up to ``SALTS`` reducers, those in one; a reducer
+    thus merges a bounded share of the sketches. Without ``probs`` there are only counts.
+    """
+    if probs is None:
+        counts = [F.struct(F.count_if(below).alias("below"), F.count(inside).alias("inside"), F.count_if(between).alias("between"),
+                           F.lit(None).cast("array<double>").alias("grid")).alias(name) for name, below, inside, between in ranges]
+        return df.groupBy(*keys).agg(*counts).collect()
+    salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
+    first, second = [], []
+    for name, below, inside, between in ranges:
+        first += [F.count_if(below).alias(f"{name}_b"), F.count(inside).alias(f"{name}_i"), F.count_if(between).alias(f"{name}_s"),
+                  F.kll_sketch_agg_double(inside, SKETCH).alias(f"{name}_k")]
+        n = F.sum(f"{name}_i")
+        merged = F.kll_merge_agg_double(F.when(F.col(f"{name}_i") > 0, F.col(f"{name}_k")), SKETCH)
+        second.append(F.struct(
+            F.sum(f"{name}_b").alias("below"), n.alias("inside"), F.sum(f"{name}_s").alias("between"),
+            F.when(n > 0, F.kll_sketch_get_quantile_double(merged, probs)).alias("grid")).alias(name))
+    out = salted.groupBy(*keys, "_salt").agg(*first).groupBy(*keys).agg(*second)
+    return (out.limit(limit) if limit else out).collect()
+
+
+def _measure(base, keys, groups, brackets, probs) -> dict:
+    if not brackets:
+        return {}
     joined, edges = _bounds(base, keys, groups, brackets)
-    aggs = []
+    ranges = []
     for (i, j), (low, high) in edges.items():
         v = F.col(f"v{i}")
-        inside = F.when(v.between(low, high), v)
-        aggs.append(F.struct(
-            F.count_if(v < low).alias("below"),
-            F.count(inside).alias("inside"),
-            F.approx_count_distinct(inside).alias("distinct"),
-            F.percentile_approx(inside, probs, max(ACCURACY, 10 * grid)).alias("grid"),
-        ).alias(f"m_{i}_{j}"))
+        ranges.append((f"m_{i}_{j}", v < low, F.when(v.between(low, high), v), (v > low) & (v < high)))
     index = {group: g for g, group in enumerate(groups)}
     out = {}
-    for row in joined.groupBy(*keys).agg(*aggs).collect():
+    for row in _two_level(joined, keys, ranges, probs):
         g = index[tuple(row[k] for k in keys)]
         for i, j in edges:
             b = brackets.get((g, i, j))
             if b is not None:
                 m = row[f"m_{i}_{j}"]
-                out[g, i, j] = _Bracket(b.low, b.high, m["below"], m["inside"], m["distinct"], m["grid"])
+                out[g, i, j] = _Bracket(b.low, b.high, m["below"], m["inside"], m["between"], m["grid"])
     return out
 
 
