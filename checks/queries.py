@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import col
+from millrace.functions.columns import col, one_row
 from millrace.operators import (
     chartdata, clean, cluster, encode, explain, features, kernel, metrics, models, neighbors, outliers, profile, select, split, stats, tuning,
 )
@@ -52,6 +52,11 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def beside(df: DataFrame, one: DataFrame) -> DataFrame:
+    """The columns of a one-row table on every row."""
+    return df.withColumn("_one", one_row(one)).select(*df.columns, "_one.*")
+
+
 def feats(spark, d, big=False):
     return features.derive_features(obs_big(spark, d), Roles()) if big else features.derive_features(obs(spark, d), OBS_ROLES)
 
@@ -73,7 +78,7 @@ def lab(spark, d, big=False) -> DataFrame:
 def group_mean_predictions(df: DataFrame, *by: str, shift: float = 0.0) -> DataFrame:
     """Predictions without a learner: the mean target per group, joined back."""
     means = df.groupBy(*by).agg((F.avg(TARGET) + F.lit(shift)).alias("y_pred"))
-    joined = df.join(means, list(by)) if by else df.join(F.broadcast(means))  # one row without groups
+    joined = df.join(means, list(by)) if by else df.withColumn("y_pred", means.scalar())
     return joined.withColumnRenamed(TARGET, "y_true")
 
 
@@ -478,9 +483,8 @@ def f_select(spark, d):
 def interaction_pairs(spark, d):
     train, _ = split.holdout(lab(spark, d), KEY)
     scores = select.f_scores(train, MODEL, TARGET)
-    total = scores.agg(F.sum("f_score").alias("total"))
-    # one row per feature and a one-row total
-    share = scores.join(F.broadcast(total)).select("feature", (F.col("f_score") / F.col("total")).alias("importance"))
+    total = scores.agg(F.sum("f_score").alias("total")).scalar()
+    share = scores.select("feature", (F.col("f_score") / total).alias("importance"))
     return rounded(explain.interaction_pairs(share))
 
 
@@ -531,13 +535,13 @@ def rf_holdout(spark, d):
     model = h.forest(small_forest("single"))
     preds = metrics.predictions(h.scored(model))
     axis = metrics.prediction_range(preds)
-    return metrics.regression_metrics(preds).join(F.broadcast(axis))  # one row each
+    return beside(metrics.regression_metrics(preds), axis)
 
 
 @query
 def rf_weighted(spark, d):
     done = experiments.final_training(holdout_of(spark, d), small_forest("final"))
-    return done.weights.join(F.broadcast(done.metrics))  # one row of metrics
+    return beside(done.weights, done.metrics)
 
 
 @query
@@ -589,7 +593,7 @@ def dual_routing(spark, d):
 @query
 def outlier_experiment(spark, d):
     done = experiments.outlier_experiment(holdout_of(spark, d), small_forest("experiment"))
-    return done.metrics.join(F.broadcast(done.removed))  # one row of counts
+    return beside(done.metrics, done.removed)
 
 
 @query
@@ -623,7 +627,7 @@ def importance(spark, d):
 def tree_disagreement(spark, d):
     h = holdout_of(spark, d)
     done = experiments.explained(h, small_forest("baseline"))
-    return done.uncertain.join(F.broadcast(done.disagreement))  # one row of totals
+    return beside(done.uncertain, done.disagreement)
 
 
 @query

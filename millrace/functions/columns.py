@@ -25,6 +25,11 @@ def flag(cond: Column) -> Column:
     return true_or_false(cond).cast("int")
 
 
+def one_row(table: DataFrame) -> Column:
+    """A one-row table as a struct column of another query: a scalar subquery, not a join."""
+    return table.select(F.struct(*[col(c) for c in table.columns]).alias("_row")).scalar()
+
+
 def finite(c: str | Column) -> Column:
     """NaN and both infinities become NULL."""
     c = col(c)

@@ -13,6 +13,7 @@ from millrace.functions.columns import col, flag, sanitised
 from millrace.roles import LABEL_COLUMN, ROUTE_PREFIX, Roles, non_numeric_columns, numeric_columns
 
 MAX_WIDE = 5_000
+MAX_INDEXED = 1_000_000
 # Columns a routing classifier may see.
 CONTEXT_FEATURES = ("hour_sin", "hour_cos", "day_of_week", "is_weekend", "is_rush_hour",
                     "is_bad_weather", "temperature", "wind", "rain")
@@ -40,9 +41,11 @@ def fit_one_hot_vector(df: DataFrame, name: str, output: str | None = None) -> P
     The first value in order is the one left out; a missing value is read as
     that first value and so becomes all zeros too.
     """
-    first = df.agg(F.min(col(name))).first()[0]
+    first, rough = df.agg(F.min(col(name)), F.approx_count_distinct(col(name))).first()
     if first is None:
         raise ValueError(f"column {name!r} has no values to encode")
+    if rough > MAX_INDEXED:
+        raise ValueError(f"column {name!r} has about {rough} values, more than the label index can hold")
     quoted = first.replace("\\", "\\\\").replace("'", "\\'")
     fill = SQLTransformer(statement=f"SELECT *, coalesce(`{name}`, '{quoted}') AS `{name}_filled` FROM __THIS__")
     index = StringIndexer(inputCol=f"{name}_filled", outputCol=f"{name}_index", stringOrderType="alphabetDesc")

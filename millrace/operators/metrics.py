@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col, true_or_false
+from millrace.functions.columns import col, one_row, true_or_false
 
 # Fixed value: smallest divisor of the relative error (double machine epsilon).
 MAPE_FLOOR = 2.220446049250313e-16
@@ -89,7 +89,7 @@ def improvement(base: DataFrame, new: DataFrame) -> DataFrame:
     if "model" in left.columns:
         both = new.join(left, "model")
     else:
-        both = new.join(F.broadcast(left))  # one row each
+        both = new.withColumn("_base", one_row(left)).select("*", "_base.*")
     keep = ["model"] if "model" in both.columns else []
 
     def change(a, b):

@@ -44,17 +44,14 @@ def quality(df: DataFrame) -> DataFrame:
     """One row: missing cells, duplicate rows and the score ``100 - share of missing cells``."""
     totals = completeness_totals(df)
     score = F.lit(100.0) - percent(F.col("null_cells"), F.col("total_cells"))
-    # two one-row tables side by side
-    return totals.join(F.broadcast(duplicate_rows(df))).select(
-        F.col("null_cells").alias("total_missing"), "duplicate_rows", score.alias("quality_score"))
+    return totals.select(F.col("null_cells").alias("total_missing"), duplicate_rows(df).scalar().alias("duplicate_rows"),
+                         score.alias("quality_score"))
 
 
 def shape_report(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: shapes before and after processing and the columns that are left."""
-    a = before.agg(F.count("*").alias("original_rows"))
-    b = after.agg(F.count("*").alias("processed_rows"))
-    # two one-row tables side by side
-    return a.join(F.broadcast(b)).select(
-        "original_rows", F.lit(len(before.columns)).alias("original_columns"),
-        "processed_rows", F.lit(len(after.columns)).alias("processed_columns"),
+    rows = [t.agg(F.count("*").alias("rows")) for t in (before, after)]
+    return rows[0].select(
+        F.col("rows").alias("original_rows"), F.lit(len(before.columns)).alias("original_columns"),
+        rows[1].scalar().alias("processed_rows"), F.lit(len(after.columns)).alias("processed_columns"),
         F.array(*[F.lit(c) for c in after.columns]).alias("processed_column_names"))

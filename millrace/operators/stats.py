@@ -58,9 +58,8 @@ def indicator_columns(df: DataFrame) -> list[str]:
 def class_distribution(df: DataFrame, name: str) -> DataFrame:
     """``(class, n, pct)`` with missing counted as a class; the total comes from the few class rows."""
     counts = df.groupBy(col(name).alias("class")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    # one-row total onto one row per class
-    return counts.join(F.broadcast(total)).select("class", "n", (F.lit(100.0) * F.col("n") / F.col("total")).alias("pct"))
+    total = counts.agg(F.sum("n").alias("total")).scalar()
+    return counts.select("class", "n", (F.lit(100.0) * F.col("n") / total).alias("pct"))
 
 
 @dataclass(frozen=True)

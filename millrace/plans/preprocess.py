@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,10 +89,8 @@ def report(p: Prepared) -> DataFrame:
     ]
     if p.target == "traffic_level":
         parts.append(_nested(stats.class_distribution(p.final, p.target), "class_distribution"))
-    # one row next to one row
-    row = reduce(lambda a, b: a.join(F.broadcast(b)), parts)
-    return row.select(
+    return p.final.sparkSession.range(1).select(
         F.lit(p.target).alias("target"),
         F.array(*[F.lit(c) for c in features.CREATED]).alias("created_features"),
         F.array(*[F.lit(c) for c in p.dropped]).cast("array<string>").alias("zero_variance_columns_dropped"),
-        "*")
+        *[t.scalar().alias(t.columns[0]) for t in parts])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = 8, memory: str = "8g", partitions: int = 8) -> SparkSession:
+def local_session(cores: int | str = 8, memory: str = "12g", partitions: int = 8) -> SparkSession:
     """Session for tests and benches; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -44,13 +44,38 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def staged(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once as a columnar table in the shared folder and read it back.
+class Staging:
+    """Writes intermediate tables to the shared folder; as a context it removes them at the end.
 
-    Cuts the lineage so that later passes re-read only the columns they need
-    instead of repeating the shuffles above, and survives lost executors.
+    A staged table is written once in columnar form and read back: the lineage
+    is cut, later passes read only the columns they need instead of repeating
+    the shuffles above, and lost executors cost nothing that is already written.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self) -> None:
+        self._written: list[tuple[SparkSession, str]] = []
+
+    def __call__(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        spark = df.sparkSession
+        path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self._written.append((spark, path))
+        return spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        """Delete what was staged; call it when no DataFrame over it is needed any more."""
+        for spark, path in self._written:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        self._written.clear()
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
+
+def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Stage a table that lives as long as the shared folder keeps it."""
+    return Staging()(df, name)

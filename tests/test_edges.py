@@ -219,3 +219,14 @@ def test_roles_rename(spark):
     out = features.derive_features(df, roles)
     assert out.first()["is_bad_weather"] == 1
     assert outliers.fit_outlier_rules(out, roles).transform(out).first()["outlier_type"] == "valid"
+
+
+def test_staged_tables_are_released(spark):
+    from millrace.session import Staging
+
+    with Staging() as stage:
+        df = stage(spark.range(5))
+        path = df.inputFiles()[0]
+        assert df.count() == 5
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
