@@ -62,7 +62,9 @@ def feats(spark, d, big=False):
 
 
 def cleaned(spark, d, big=False) -> clean.Cleaned:
-    return clean.clean(feats(spark, d, big), [TARGET, SPEED], key=KEY, stage=staged)
+    df = feats(spark, d, big)
+    again = features.recomputable(df, Roles() if big else OBS_ROLES)
+    return clean.clean(df, [TARGET, SPEED], key=KEY, stage=staged, recompute=again)
 
 
 def labelled(spark, d, big=False, low_side=True):

@@ -6,10 +6,10 @@ same numbers can be applied to a hold-out or to a stream.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,14 +32,14 @@ class MedianImputer:
     def imputed(self) -> list[str]:
         return [c for c in self.values if self.values[c] is not None]
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, only: Collection[str] | None = None) -> DataFrame:
         """Candidate columns become DOUBLE whether or not they had gaps, so the schema does not depend on data."""
         new = {}
-        for c in self.columns:
+        for c in self.columns if only is None else [c for c in self.columns if c in only]:
             x = col(c).cast("double")
             fill = self.values.get(c)
             new[c] = x if fill is None else F.coalesce(x, F.lit(float(fill)))
-        return df.withColumns(new)
+        return df.withColumns(new) if new else df
 
 
 def fit_median_imputer(df: DataFrame, exclude: Sequence[str] = ()) -> MedianImputer:
@@ -209,14 +209,22 @@ class Cleaned:
         return fixed.unionByName(counts).unionByName(iqr).unionByName(wins)
 
 
-def clean(df: DataFrame, targets: Sequence[str], key: str | None = None, stage=None) -> Cleaned:
+def clean(df: DataFrame, targets: Sequence[str], key: str | None = None, stage=None,
+          recompute: Mapping[str, Column] | None = None) -> Cleaned:
     """Impute, then de-duplicate, then winsorize ``targets``, in that order.
 
+    ``recompute`` names columns that are functions of the remaining raw ones
+    (``features.recomputable``): they cannot tell rows apart, so they are left
+    out of the de-duplicating shuffle and derived again behind it.
+
     ``stage`` (e.g. ``session.staged``) writes the de-duplicated table once, so
     the quantile passes and the consumers do not repeat its shuffle.
     """
     imputer = fit_median_imputer(df, exclude=[key] if key else [])
-    deduped = dedup(imputer.transform(df))
+    recompute = {c: e for c, e in (recompute or {}).items() if c in df.columns}
+    deduped = dedup(imputer.transform(df.drop(*recompute), [c for c in df.columns if c not in recompute]))
+    if recompute:
+        deduped = imputer.transform(deduped.withColumns(recompute), recompute).select(*[col(c) for c in df.columns])
     if stage is not None:
         deduped = stage(deduped)
     wins = fit_winsorizer(deduped, targets)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,27 @@ def parsed_time(df: DataFrame, name: str):
     return col(name).try_cast("timestamp_ntz")
 
 
+def _hour_columns(hour: Column, roles: Roles, rush_hours: Sequence[int]) -> dict[str, Column]:
+    sine, cosine = cyclic(hour, 24)
+    return {roles.is_rush_hour: flag(hour.isin(*rush_hours)), roles.hour_sin: sine, roles.hour_cos: cosine}
+
+
+def recomputable(df: DataFrame, roles: Roles = Roles(), rush_hours: Sequence[int] = RUSH_HOURS) -> dict[str, Column]:
+    """Features that follow from the time or the two places alone.
+
+    They need not travel through a shuffle: drop them before and derive them after.
+    """
+    have, out = set(df.columns), {}
+    if roles.timestamp in have:
+        hour, day = F.hour(col(roles.timestamp)), F.weekday(col(roles.timestamp))
+        out |= {roles.hour: hour, roles.day_of_week: day, roles.is_weekend: flag(day.isin(5, 6))}
+        out |= _hour_columns(hour, roles, rush_hours)
+    if {roles.origin, roles.destination} <= have:
+        start, end = (F.coalesce(col(c).cast("string"), F.lit("unknown")) for c in (roles.origin, roles.destination))
+        out[roles.route] = F.concat(start, F.lit(" → "), end)
+    return out
+
+
 def derive_features(
     df: DataFrame,
     roles: Roles = Roles(),
@@ -42,19 +63,10 @@ def derive_features(
     out = finite_table(df)
     if roles.timestamp in out.columns:
         out = out.withColumn(roles.timestamp, parsed_time(out, roles.timestamp))
-        out = out.withColumns({
-            roles.hour: F.hour(col(roles.timestamp)),
-            roles.day_of_week: F.weekday(col(roles.timestamp)),
-        })
-        out = out.withColumn(roles.is_weekend, flag(col(roles.day_of_week).isin(5, 6)))
     have = set(out.columns)
-    new = {}
-    if {roles.origin, roles.destination} <= have:
-        part = [F.coalesce(col(c).cast("string"), F.lit("unknown")) for c in (roles.origin, roles.destination)]
-        new[roles.route] = F.concat(part[0], F.lit(" → "), part[1])
-    if roles.hour in have:
-        new[roles.is_rush_hour] = flag(col(roles.hour).isin(*rush_hours))
-        new[roles.hour_sin], new[roles.hour_cos] = cyclic(roles.hour, 24)
+    new = recomputable(out, roles, rush_hours)
+    if roles.hour in have and roles.timestamp not in have:
+        new |= _hour_columns(col(roles.hour), roles, rush_hours)
     if {roles.rain, roles.wind} <= have:
         rain, wind = flag(col(roles.rain) > 0) == 1, flag(col(roles.wind) > F.lit(float(wind_limit))) == 1
         new[roles.is_bad_weather] = (rain | wind).cast("int")

@@ -41,7 +41,8 @@ def prepare(raw: DataFrame, roles: Roles = Roles(), sample_n: int | None = None,
     """
     scoped = split.scope(raw, roles.key, sample_n)
     featured = features.derive_features(scoped, roles)
-    cleaned = cleaning.clean(featured, [roles.target, roles.speed], key=roles.key, stage=stage)
+    cleaned = cleaning.clean(featured, [roles.target, roles.speed], key=roles.key, stage=stage,
+                             recompute=features.recomputable(featured, roles))
     rules = outliers.fit_outlier_rules(cleaned.table, roles, winsorizer=cleaned.winsorizer)
     labelled = rules.transform(cleaned.table)
     encoded = encode.one_hot(labelled, roles.route) if one_hot and roles.route in labelled.columns else labelled
