@@ -270,7 +270,8 @@ def completeness_totals(spark, d):
 
 @query
 def quality(spark, d):
-    return rounded(profile.quality(feats(spark, d)))
+    df = feats(spark, d)
+    return rounded(profile.quality(df, features.recomputable(df, OBS_ROLES)))
 
 
 @query

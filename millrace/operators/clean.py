@@ -57,31 +57,53 @@ def dedup(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.dropDuplicates(list(subset) if subset else df.columns)
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Number of rows beyond the first of each set of equal rows, as one row."""
-    copies = df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias("n"))
+def duplicate_rows(df: DataFrame, determined: Collection[str] = ()) -> DataFrame:
+    """Number of rows beyond the first of each set of equal rows, as one row.
+
+    ``determined`` are columns that follow from the others and need not be compared.
+    """
+    keys = [col(c) for c in df.columns if c not in determined]
+    copies = df.groupBy(*keys).agg(F.count("*").alias("n"))
     return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
+def _salted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as ``v0..``, with a salt by task: combined in two levels, no reducer reads the partial results of all tasks."""
+    real = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    values = [(col(c) + F.lit(0.0) if c in real else col(c)).alias(f"v{i}") for i, c in enumerate(columns)]  # no negative zero
+    return df.select(*values, (F.spark_partition_id() % SALTS).alias("_salt"))
+
+
+def rough_distinct(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, int]]:
+    """``{column: (estimated distinct values, NULLs)}`` from bounded sketches in one pass."""
+    if not columns:
+        return {}
+    salted = _salted(df, columns)
+    sketches = salted.groupBy("_salt").agg(*[
+        F.struct(F.hll_sketch_agg(F.when(F.col(f"v{i}").isNotNull(), F.xxhash64(f"v{i}"))).alias("h"),
+                 F.count_if(F.col(f"v{i}").isNull()).alias("n")).alias(f"c{i}") for i in range(len(columns))])
+    row = sketches.agg(*[F.struct(F.hll_sketch_estimate(F.hll_union_agg(f"c{i}.h")).alias("d"), F.sum(f"c{i}.n").alias("n")).alias(f"c{i}")
+                         for i in range(len(columns))]).first()
+    return {c: (row[f"c{i}"]["d"] or 0, row[f"c{i}"]["n"] or 0) for i, c in enumerate(columns)}
+
+
+def listed_distinct(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Exact distinct counts of columns known to have few values: every task lists them."""
+    if not columns:
+        return {}
+    lists = _salted(df, columns).groupBy("_salt").agg(*[F.collect_set(f"v{i}").alias(f"l{i}") for i in range(len(columns))])
+    row = lists.agg(*[F.size(F.array_distinct(F.flatten(F.collect_list(f"l{i}")))).alias(f"d{i}") for i in range(len(columns))]).first()
+    return {c: max(row[f"d{i}"] or 0, 0) for i, c in enumerate(columns)}
+
+
 def distinct_at_most(df: DataFrame, columns: Sequence[str], limit: int) -> set[str]:
     """Columns with at most ``limit`` distinct non-null values, decided exactly.
 
     A bounded sketch clears the columns that are far above the limit; the
     doubtful ones have so few values that each task can list them.
     """
-    if not columns:
-        return set()
-    salted = df.select(*[col(c).alias(f"v{i}") for i, c in enumerate(columns)], (F.spark_partition_id() % SALTS).alias("_salt"))
-    # combined in two levels, so that no reducer reads the partial results of all tasks
-    sketches = salted.groupBy("_salt").agg(*[
-        F.hll_sketch_agg(F.when(F.col(f"v{i}").isNotNull(), F.xxhash64(f"v{i}"))).alias(f"h{i}") for i in range(len(columns))])
-    rough = sketches.agg(*[F.hll_sketch_estimate(F.hll_union_agg(f"h{i}")).alias(f"a{i}") for i in range(len(columns))]).first()
-    doubtful = [i for i in range(len(columns)) if (rough[f"a{i}"] or 0) <= 4 * limit + 10]
-    if not doubtful:
-        return set()
-    lists = salted.groupBy("_salt").agg(*[F.collect_set(f"v{i}").alias(f"l{i}") for i in doubtful])
-    sure = lists.agg(*[F.size(F.array_distinct(F.flatten(F.collect_list(f"l{i}")))).alias(f"d{i}") for i in doubtful]).first()
-    return {columns[i] for i in doubtful if (sure[f"d{i}"] or 0) <= limit}
+    doubtful = [c for c, (n, _) in rough_distinct(df, columns).items() if n <= 4 * limit + 10]
+    return {c for c, n in listed_distinct(df, doubtful).items() if n <= limit}
 
 
 @dataclass(frozen=True)

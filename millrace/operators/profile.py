@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,11 +40,14 @@ def completeness_totals(df: DataFrame) -> DataFrame:
         (F.col("rows") * width - F.col("null_cells")).alias("complete_cells"), "null_cells")
 
 
-def quality(df: DataFrame) -> DataFrame:
-    """One row: missing cells, duplicate rows and the score ``100 - share of missing cells``."""
+def quality(df: DataFrame, determined: Collection[str] = ()) -> DataFrame:
+    """One row: missing cells, duplicate rows and the score ``100 - share of missing cells``.
+
+    ``determined`` are columns that cannot tell rows apart, as in ``duplicate_rows``.
+    """
     totals = completeness_totals(df)
     score = F.lit(100.0) - percent(F.col("null_cells"), F.col("total_cells"))
-    return totals.select(F.col("null_cells").alias("total_missing"), duplicate_rows(df).scalar().alias("duplicate_rows"),
+    return totals.select(F.col("null_cells").alias("total_missing"), duplicate_rows(df, determined).scalar().alias("duplicate_rows"),
                          score.alias("quality_score"))
 
 

@@ -10,26 +10,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col
-from millrace.operators.clean import MAX_DISCRETE, distinct_at_most, fence_counts
+from millrace.operators.clean import MAX_DISCRETE, distinct_at_most, fence_counts, listed_distinct, rough_distinct
 from millrace.operators.quantiles import order_stats
 from millrace.roles import ROUTE_PREFIX, numeric_columns
 
+LISTED = 1_000
 PAIRS_PER_PASS = 40  # more sums in one aggregate exceed what the JVM compiles
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """``(column, distinct_values, distinct_with_null)`` per column.
 
-    ``exact=False`` uses a bounded sketch, the choice for high-cardinality columns of very large tables.
+    Columns with few values are listed together in one pass. Each of the others
+    has a branch that reads and shuffles that column alone, rather than every
+    row once per column. ``exact=False`` returns the sketched counts.
     """
     columns = list(columns or df.columns)
-    count = F.count_distinct if exact else F.approx_count_distinct
-    row = df.agg(*[F.struct(count(col(c)).alias("d"), F.count_if(col(c).isNull()).alias("nulls")).alias(f"c{i}")
-                   for i, c in enumerate(columns)])
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}.d").alias("distinct_values"),
-                                 (F.col(f"c{i}.d") + F.when(F.col(f"c{i}.nulls") > 0, 1).otherwise(0)).alias("distinct_with_null"))
-                        for i, c in enumerate(columns)])
-    return row.select(F.inline(entries))
+    rough = rough_distinct(df, columns)
+    if exact:
+        known = listed_distinct(df, [c for c in columns if rough[c][0] <= LISTED])
+    else:
+        known = {c: n for c, (n, _) in rough.items()}
+
+    def null(c):
+        return 1 if rough[c][1] else 0
+
+    rows = [(c, n, n + null(c)) for c, n in known.items()]
+    out = df.sparkSession.createDataFrame(rows, "column string, distinct_values bigint, distinct_with_null bigint")
+    for c in columns:
+        if c not in known:
+            n = F.count_distinct(col(c))
+            out = out.unionByName(df.agg(n.alias("distinct_values")).select(
+                F.lit(c).alias("column"), "distinct_values", (F.col("distinct_values") + null(c)).alias("distinct_with_null")))
+    return out
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:

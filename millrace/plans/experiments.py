@@ -21,6 +21,7 @@ from millrace.operators.kernel import fit_kernel_regression
 from millrace.operators.models import BOOSTINGS, FORESTS, Boosting, Forest
 from millrace.operators.select import kept_features, select_features
 from millrace.roles import Roles, require_numeric
+from millrace.session import staged
 from millrace.sources.tables import save_model, write_dataset
 
 WEIGHT = "sample_weight"
@@ -162,10 +163,10 @@ def single_vs_dual(h: Holdout, preset: Forest = FORESTS["single"], classifier: F
 # ---- tournament ------------------------------------------------------------------------
 
 
-def _contest(h: Holdout, forest: Forest, boosting: Boosting, neighbours: int, waves: int) -> DataFrame:
+def _contest(h: Holdout, forest: Forest, boosting: Boosting, neighbours: int, waves: int, stage) -> DataFrame:
     kernel = fit_kernel_regression(h.train.where(col(h.target).isNotNull()), h.features, h.target, WEIGHT, size=waves)
     test = h.test.where(col(h.target).isNotNull())
-    near = neighbors.knn_predict(test, h.train, h.features, h.target, h.roles.key, h.roles.key, k=neighbours)
+    near = neighbors.knn_predict(test, h.train, h.features, h.target, h.roles.key, h.roles.key, k=neighbours, stage=stage)
     near = test.select(col(h.roles.key).alias("query_id"), col(h.target).alias("label")).join(near, "query_id")
     return metrics.comparison({
         "forest": h.metrics(h.forest(forest)),
@@ -184,12 +185,12 @@ class Tournament:
 
 
 def tournament(h: Holdout, forest: Forest = FORESTS["baseline"], boosting: Boosting = BOOSTINGS["comparison"], neighbours: int = 15,
-               waves: int = 128, k: int = 5, restarts: int = 10, scale: bool = False) -> Tournament:
+               waves: int = 128, k: int = 5, restarts: int = 10, scale: bool = False, stage=staged) -> Tournament:
     """All learners without and with the cluster number as a feature; tables sorted by RMSE."""
-    before = _contest(h, forest, boosting, neighbours, waves)
+    before = _contest(h, forest, boosting, neighbours, waves, stage)
     found = fit_clusters(h.train, h.features, k, restarts, scale=scale)
     more = Holdout(found.transform(h.train), found.transform(h.test), (*h.features, "cluster"), h.roles)
-    after = _contest(more, forest, boosting, neighbours, waves)
+    after = _contest(more, forest, boosting, neighbours, waves, stage)
     change = before.select("model", F.col("rmse").alias("rmse_before")).join(after.select("model", F.col("rmse").alias("rmse_after")), "model")
     change = change.withColumn("improvement_pct", F.lit(100.0) * F.try_divide(F.col("rmse_before") - F.col("rmse_after"), F.col("rmse_before")))
     return Tournament(found, before.orderBy("rmse"), after.orderBy("rmse"), change.orderBy("rmse_after"))
