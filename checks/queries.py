@@ -351,9 +351,7 @@ def density_hist(spark, d):
 @query
 def boxplot_stats(spark, d):
     df = features.with_day_type(lab(spark, d, big=True))
-    parts = [chartdata.box_figures(df, TARGET, by).select(F.lit(by or "column").alias("grouping"), "*")
-             for by in ("is_rush_hour", "is_bad_weather", "day_type", None)]
-    return rounded(union(parts))
+    return rounded(chartdata.box_figures(df, TARGET, ["is_rush_hour", "is_bad_weather", "day_type", None]))
 
 
 @query

@@ -59,24 +59,25 @@ def density(df: DataFrame, column: str, by: Column, bins: int = 40) -> DataFrame
         F.try_divide(F.col("n"), F.col("total") * F.col("w")).alias("density"))
 
 
-def box_figures(df: DataFrame, value: str, by: str | None = None, width: float = 1.5) -> DataFrame:
-    """``(series, q1, median, q3, whisker_low, whisker_high, outliers, n)`` per group, or for the whole column.
+def box_figures(df: DataFrame, value: str, by: Sequence[str | None] = (None,), width: float = 1.5) -> DataFrame:
+    """``(grouping, series, q1, median, q3, whisker_low, whisker_high, outliers, n)`` for each grouping column.
 
+    ``None`` stands for the whole column. All groupings share the passes.
     Quartiles come from distributed selection, so a group may hold most of the table.
     """
-    series = col(by).cast("string") if by else F.lit("all")
-    x = df.select(series.alias("series"), col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
-    stats = order_stats(x, {"x": [0.25, 0.5, 0.75]}, by=["series"])
+    series = [F.struct(F.lit(b or "column").alias("grouping"), (col(b).cast("string") if b else F.lit("all")).alias("series")) for b in by]
+    known = df.select(F.array(*series).alias("series"), col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
+    x = known.select(F.explode("series").alias("s"), "x").select("s.grouping", "s.series", "x")
     rows = []
-    for (s,), per in stats.items():
+    for group, per in order_stats(x, {"x": [0.25, 0.5, 0.75]}, by=["grouping", "series"]).items():
         q1, q2, q3 = (per["x"][Rank(p)].value for p in (0.25, 0.5, 0.75))
         f = Fence.around(q1, q3, width)
-        rows.append((s, q1, q2, q3, f.low, f.high))
-    table = x.sparkSession.createDataFrame(rows, "s string, q1 double, median double, q3 double, low double, high double")
+        rows.append((*group, q1, q2, q3, f.low, f.high))
+    table = x.sparkSession.createDataFrame(rows, "g string, s string, q1 double, median double, q3 double, low double, high double")
     # one row per group, and the number of groups was checked
-    joined = x.join(F.broadcast(table), F.col("series").eqNullSafe(F.col("s")))
+    joined = x.join(F.broadcast(table), (F.col("grouping") == F.col("g")) & F.col("series").eqNullSafe(F.col("s")))
     inside = F.col("x").between(F.col("low"), F.col("high"))
-    return joined.groupBy("series", "q1", "median", "q3").agg(
+    return joined.groupBy("grouping", "series", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("x"))).alias("whisker_low"), F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
         F.count_if(~inside).alias("outliers"), F.count("*").alias("n"))
 

@@ -35,12 +35,16 @@ MAX_GROUPS = 10_000
 
 @dataclass(frozen=True)
 class Rank:
-    """A wanted position: interpolated at ``p * (n - 1)`` or the ``ceil(p * n)``-th smallest."""
+    """A wanted position: interpolated at ``p * (n - 1)``, the ``ceil(p * n)``-th or the ``smallest``-th value."""
 
     p: float
     interpolated: bool = True
+    smallest: int | None = None
 
     def position(self, n: int) -> tuple[int, int, float]:
+        if self.smallest is not None:
+            k = min(n, self.smallest) - 1
+            return k, k, 0.0
         if self.interpolated:
             at = self.p * (n - 1)
             low = min(n - 1, math.floor(at))

@@ -15,12 +15,26 @@ from millrace.functions.columns import HASH_SPACE, col, hash52
 from millrace.operators.quantiles import Rank, order_stats
 
 SEED = 42
+TOP_N = 100_000
 
 
 def exact_sample(df: DataFrame, key: str, n: int = 5_000, seed: int = SEED, columns: Sequence[str] | None = None) -> DataFrame:
-    """``min(n, rows)`` rows with the smallest key hashes: a bounded top-n, no full sort."""
+    """``min(n, rows)`` rows with the smallest key hashes.
+
+    Small samples are a bounded top-n. For large ones the n-th smallest hash is
+    found by distributed selection and the sample is a filter, so that it never
+    passes through one task.
+    """
     out = df if columns is None else df.select(*[col(c) for c in dict.fromkeys([key, *columns])])
-    return out.orderBy(hash52(key, seed), col(key)).limit(n)
+    if n <= TOP_N:
+        return out.orderBy(hash52(key, seed), col(key)).limit(n)
+    rank = Rank(0.0, smallest=n)
+    cut = order_stats(out.select(hash52(key, seed).alias("_h")), {"_h": [rank]}).get((), {})["_h"][rank].value
+    if cut is None:
+        return out
+    below = out.where(hash52(key, seed) < int(cut))
+    ties = out.where(hash52(key, seed) == int(cut)).orderBy(col(key)).limit(n - below.count())
+    return below.unionByName(ties)
 
 
 def scope(df: DataFrame, key: str, sample_n: int | None = None, seed: int = SEED) -> DataFrame:

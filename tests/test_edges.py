@@ -242,3 +242,21 @@ def test_recomputed_columns_do_not_change_deduplication(spark):
     slim = clean.clean(df, ["delay_min"], key="obs_id", recompute=features.recomputable(df)).deduped
     assert slim.columns == plain.columns and slim.dtypes == plain.dtypes
     assert sorted(map(str, slim.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_large_samples_equal_small_ones(spark, monkeypatch):
+    df = spark.range(3000).select((F.col("id") % 2500).alias("obs_id"))
+    direct = sorted(r[0] for r in split.exact_sample(df, "obs_id", 1001).collect())
+    monkeypatch.setattr(split, "TOP_N", 10)
+    assert sorted(r[0] for r in split.exact_sample(df, "obs_id", 1001).collect()) == direct
+    assert split.exact_sample(df, "obs_id", 9999).count() == 3000
+
+
+def test_box_figures_share_groupings(spark):
+    from millrace.operators import chartdata
+
+    df = spark.createDataFrame([(float(v), v % 2) for v in range(1, 12)] + [(100.0, None)], "x double, g int")
+    rows = {(r["grouping"], r["series"]): r for r in chartdata.box_figures(df, "x", ["g", None]).collect()}
+    assert set(rows) == {("g", "0"), ("g", "1"), ("g", None), ("column", "all")}
+    whole = rows["column", "all"]
+    assert (whole["outliers"], whole["whisker_low"], whole["whisker_high"], whole["median"]) == (1, 1.0, 11.0, 6.5)
