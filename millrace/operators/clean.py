@@ -49,7 +49,7 @@ def fit_median_imputer(df: DataFrame, exclude: Sequence[str] = ()) -> MedianImpu
     row = df.agg(F.count("*").alias("n"), *[F.count(col(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
     nulls = {c: row["n"] - row[f"c{i}"] for i, c in enumerate(df.columns)}
     gaps = [c for c in candidates if nulls[c]]
-    return MedianImputer(row["n"], nulls, medians(df, gaps) if gaps else {}, tuple(candidates))
+    return MedianImputer(row["n"], nulls, medians(df, gaps, at_most=row["n"]) if gaps else {}, tuple(candidates))
 
 
 def dedup(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -182,11 +182,11 @@ class Winsorizer:
 
 
 def fit_winsorizer(df: DataFrame, columns: Sequence[str], lower: float = 0.01, upper: float = 0.99,
-                   also: Sequence[float] = (0.25, 0.75)) -> Winsorizer:
+                   also: Sequence[float] = (0.25, 0.75), at_most: int | None = None) -> Winsorizer:
     """Exact clip bounds; ``also`` are further quantiles read off in the same passes."""
     columns = [c for c in columns if c in df.columns]
     ps = sorted({lower, upper, *also})
-    found = order_stats(df, {c: ps for c in columns}).get((), {})
+    found = order_stats(df, {c: ps for c in columns}, at_most=at_most).get((), {})
     bounds = {c: (found[c][Rank(lower)].value, found[c][Rank(upper)].value) for c in columns}
     return Winsorizer(bounds, found)
 
@@ -249,7 +249,7 @@ def clean(df: DataFrame, targets: Sequence[str], key: str | None = None, stage=N
         deduped = imputer.transform(deduped.withColumns(recompute), recompute).select(*[col(c) for c in df.columns])
     if stage is not None:
         deduped = stage(deduped)
-    wins = fit_winsorizer(deduped, targets)
+    wins = fit_winsorizer(deduped, targets, at_most=imputer.rows)
     return Cleaned(imputer, deduped, wins, wins.transform(deduped))
 
 

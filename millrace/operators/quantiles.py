@@ -124,11 +124,13 @@ def order_stats(
     by: Sequence[str] = (),
     sortable: int = SORTABLE,
     grid: int = GRID,
+    at_most: int | None = None,
 ) -> dict[tuple, dict[str, dict[Rank, OrderStat]]]:
     """Exact order statistics per group: ``{group: {column: {rank: stat}}}``.
 
     ``by`` must have few values (flags, labels); without it the only group is ``()``.
-    NULL and NaN are ignored.
+    NULL and NaN are ignored. ``at_most`` is a known upper bound of the number
+    of rows; below the sortable size the first pass then only counts.
     """
     by = list(by)
     wanted = {c: [r if isinstance(r, Rank) else Rank(float(r)) for r in rs] for c, rs in wanted.items() if len(rs)}
@@ -140,8 +142,8 @@ def order_stats(
     keys = [f"g{i}" for i in range(len(by))]
     probs = _even_grid(grid)
 
-    rows = _two_level(base, keys, [(f"s{i}", F.lit(None), F.col(f"v{i}"), F.lit(None)) for i in range(len(columns))], probs,
-                      limit=MAX_GROUPS + 1)
+    rows = _two_level(base, keys, [(f"s{i}", F.lit(None), F.col(f"v{i}"), F.lit(None)) for i in range(len(columns))],
+                      None if at_most is not None and at_most <= sortable else probs, limit=MAX_GROUPS + 1)
     if len(rows) > MAX_GROUPS:
         raise ValueError(f"exact quantiles by {by}: more than {MAX_GROUPS} groups")
 
@@ -236,7 +238,8 @@ def _two_level(df: DataFrame, keys: list[str], ranges, probs: Column | None, lim
     if probs is None:
         counts = [F.struct(F.count_if(below).alias("below"), F.count(inside).alias("inside"), F.count_if(between).alias("between"),
                            F.lit(None).cast("array<double>").alias("grid")).alias(name) for name, below, inside, between in ranges]
-        return df.groupBy(*keys).agg(*counts).collect()
+        out = df.groupBy(*keys).agg(*counts)
+        return (out.limit(limit) if limit else out).collect()
     salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
     first, second = [], []
     for name, below, inside, between in ranges:
@@ -327,8 +330,8 @@ def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], **kw) -> dic
     return {c: {r.p: s.value for r, s in per.items()} for c, per in found.items()}
 
 
-def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    return {c: per[0.5] for c, per in quantiles(df, {c: [0.5] for c in columns}).items()}
+def medians(df: DataFrame, columns: Sequence[str], **kw) -> dict[str, float | None]:
+    return {c: per[0.5] for c, per in quantiles(df, {c: [0.5] for c in columns}, **kw).items()}
 
 
 def approximate_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy: int = 10_000) -> dict[str, dict[float, float]]:
