@@ -24,12 +24,15 @@ from pyspark.sql import types as T
 
 from millrace.llm.common import add_columns
 
+#: STEPS: batches in an epoch, of 16 windows at least.
 #: Labelled rows of each class that are fitted on at most, and characters beyond which a text is not taken for fitting.
 FIT_ROWS, FIT_CHARS = {1: 2000, 0: 3000}, 3000
 WINDOW, STRIDE = 32, 24
 THRESHOLD = 0.3
 WORD_PLACES, CHAR_PLACES, WORD_SIZE, CHAR_SIZE, HIDDEN = 8192, 8192, 8, 8, 8
-EPOCHS, BATCH, RATE, LEADERS_EVERY = 10, 128, 0.03, 2
+EPOCHS, STEPS, RATE, LEADERS_EVERY = 12, 45, 0.03, 2
+#: Share of words that a training step sees by their characters only, so that unseen forms of a stem are judged alike.
+HIDDEN_WORDS = 0.5
 #: Words whose inputs a worker remembers.
 REMEMBERED = 300_000
 _TOGETHER = 2048
@@ -232,19 +235,22 @@ def train(texts: list[str], labels: list[int], seed: int = 7, epochs: int = EPOC
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step, leading = 0, first.copy()
     for epoch in range(epochs):
-        if epoch and (epoch - 1) % LEADERS_EVERY == 0:
+        if epoch > 1 and epoch % LEADERS_EVERY == 0:
             x = net.inputs(words)
             logit = np.concatenate([net.forward(x, index[a : a + _TOGETHER], mask[a : a + _TOGETHER]) for a in range(0, len(index), _TOGETHER)])
             leading = np.array([a + int(np.argmax(logit[a:b])) for a, b in zip(first, ends, strict=True)])
-        rows = np.arange(len(y)) if epoch else np.flatnonzero(count <= 4) if (count[y == 1] <= 4).any() and (count[y == 0] <= 4).any() else np.arange(len(y))
+        rows = np.arange(len(y)) if epoch > 1 else np.flatnonzero(count <= 4) if (count[y == 1] <= 4).any() and (count[y == 0] <= 4).any() else np.arange(len(y))
         clean = rows[y[rows] == 0]
         chosen = np.concatenate([leading[rows], first[clean] + (r.random(len(clean)) * count[clean]).astype(np.int64)])
         target = np.concatenate([y[rows], np.zeros(len(clean), np.float32)])
         order = r.permutation(len(chosen))
-        for at in range(0, len(order), BATCH):
-            pick = order[at : at + BATCH]
+        batch = max(16, -(-len(order) // STEPS))
+        for at in range(0, len(order), batch):
+            pick = order[at : at + batch]
             own, local = np.unique(index[chosen[pick]], return_inverse=True)
-            g = net.gradient(_subset(words, own), local.reshape(len(pick), -1), mask[chosen[pick]], target[pick])
+            known = _subset(words, own)
+            known.place[r.random(len(own)) < HIDDEN_WORDS] = 0
+            g = net.gradient(known, local.reshape(len(pick), -1), mask[chosen[pick]], target[pick])
             step += 1
             for k, v in g.items():
                 a, b = moment[k]
