@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import staged
+
 #: Lower bound of the share of good pages from which a host is allowed, and z of the bound.
 LIMIT, Z = 0.7, 1.645
 #: Bounds of the scatter within a level (1 / (strength + 1)).
@@ -49,6 +51,14 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]])
     return rule, verdict
 
 
+def _strength(free: float, total: float, shared: float, spread: float, noise: float) -> float:
+    """Strength of a level's prior by the method of moments: what scatter there is beyond that of the counts."""
+    unit = noise / total if total else 0.0
+    room = unit * (total - shared - free)
+    scatter = min(max((spread - unit * free) / room, SCATTER[0]), SCATTER[1]) if room > 0 else SCATTER[1]
+    return 1 / scatter - 1
+
+
 def _level(members: DataFrame, own: str, above: str, parents: DataFrame) -> DataFrame:
     """Members (``own``, ``above``, ``n``, ``k``) with ``a`` and ``b`` of their posterior and its mean ``m``; ``parents`` has ``above`` and ``prior``."""
     joined = members.join(parents, above)
@@ -64,13 +74,9 @@ def _level(members: DataFrame, own: str, above: str, parents: DataFrame) -> Data
     total = inner.agg(
         F.sum(F.col("members") - 1).alias("free"), F.sum("all").alias("all"), F.sum(F.col("squares") / F.col("all")).alias("shared"), F.sum("spread").alias("spread"), F.sum("noise").alias("noise")
     )
-    unit = F.col("noise") / F.col("all")
-    room = unit * (F.col("all") - F.col("shared") - F.col("free"))
-    scatter = F.when(room > 0, F.least(F.greatest((F.col("spread") - unit * F.col("free")) / room, F.lit(SCATTER[0])), F.lit(SCATTER[1]))).otherwise(F.lit(SCATTER[1]))
-    strength = total.select((1 / scatter - 1).alias("strength"))
-    out = joined.join(F.broadcast(strength))  # one row
-    a, b = F.col("strength") * F.col("prior") + F.col("k"), F.col("strength") * (1 - F.col("prior")) + F.col("n") - F.col("k")
-    return out.select(own, a.alias("a"), b.alias("b"), (a / (a + b)).alias("m"))
+    strength = F.lit(_strength(*[x or 0.0 for x in total.first()]))
+    a, b = strength * F.col("prior") + F.col("k"), strength * (1 - F.col("prior")) + F.col("n") - F.col("k")
+    return joined.select(own, a.alias("a"), b.alias("b"), (a / (a + b)).alias("m"))
 
 
 def reputation(outcomes: DataFrame) -> DataFrame:
@@ -80,11 +86,13 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     """
     good = F.col("good").cast("long")
     hosts = outcomes.groupBy("host").agg(F.count(good).alias("n"), F.coalesce(F.sum(good), F.lit(0)).alias("k")).withColumn("domain", domain_of(F.col("host")))
+    hosts = staged(hosts, "hosts")
     domains = hosts.groupBy("domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("suffix", suffix_of(F.col("domain")))
+    domains = staged(domains, "domains")
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("root", F.lit(0))
     root = suffixes.groupBy("root").agg(((F.sum("k") + 1) / (F.sum("n") + 2)).alias("prior"))
-    by_suffix = _level(suffixes, "suffix", "root", root).select("suffix", F.col("m").alias("prior"))
-    by_domain = _level(domains, "domain", "suffix", by_suffix).select("domain", F.col("m").alias("prior"))
+    by_suffix = staged(_level(suffixes, "suffix", "root", root).select("suffix", F.col("m").alias("prior")), "suffixes")
+    by_domain = staged(_level(domains, "domain", "suffix", by_suffix).select("domain", F.col("m").alias("prior")), "domains")
     size = F.col("a") + F.col("b")
     deviation = F.sqrt(F.col("a") * F.col("b") / (size * size * (size + 1)))
     return _level(hosts, "host", "domain", by_domain).select("host", F.col("m").alias("mean"), (F.col("m") - Z * deviation).alias("bound"))

@@ -67,9 +67,9 @@ def rates(df: DataFrame, source: str = "source", weights: Mapping[str, float] |
     for name, w in (weights or {}).items():
         weight = F.when(named == name, F.lit(float(w))).otherwise(weight)
     counts = counts.withColumn("weight", weight)
-    total = counts.agg(F.sum("n_docs").alias("docs"), F.sum("weight").alias("weights"))
-    shared = F.when(F.col("weights") > 0, F.col("weight") * F.col("docs") / (F.col("weights") * F.col("n_docs"))).otherwise(F.lit(0.0))
-    return counts.join(F.broadcast(total)).select("source", "n_docs", shared.alias("rate"))  # total is one row
+    docs, weights_sum = counts.agg(F.sum("n_docs"), F.sum("weight")).first()
+    shared = F.col("weight") * F.lit(float(docs)) / (F.lit(float(weights_sum)) * F.col("n_docs")) if docs and weights_sum else F.lit(0.0)
+    return counts.select("source", "n_docs", shared.alias("rate"))
 
 
 def mix(df: DataFrame, source: str = "source", key: str = "doc_id", weights: Mapping[str, float] | None = None, default: float = 1.0, power: float = 0.0, seed: str = SEED) -> DataFrame:
