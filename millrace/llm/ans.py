@@ -31,21 +31,25 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import SplitText, add_columns, partitions
+from millrace.llm.common import CHUNK_ROWS, SplitText, add_columns, partitions
 from millrace.session import shared_dir
 
 PRECISION, LANES, SEGMENT = 18, 256, 256
 #: A block is closed once it holds so many ids. Blocks coded side by side in one task.
 BLOCK_IDS, TOGETHER = 1 << 18, 8
+#: Pre-tokens whose ids a worker remembers.
+REMEMBERED = 300_000
 _HEAD, _LOW = struct.Struct("<4sBBHIIII"), np.uint64(1 << 31)
 
 
@@ -182,11 +186,24 @@ def _tokenizer(path: str):
 
 
 @cache
-def _encoder(path: str) -> SplitText:
+def _encoder(path: str, pre_tokens: str) -> SplitText:
+    """The library encodes each distinct pre-token that a worker meets; it would cut a text at the same places itself."""
     made = _tokenizer(path)
 
+    pattern, known = regex.compile(pre_tokens), {}
+
     def work(cuts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in made.encode_batch(cuts, add_special_tokens=False)]
+        pieces = [[c] if c.isascii() and c[1:].isalpha() else pattern.findall(c) for c in cuts]
+        wanted = set(chain.from_iterable(pieces))
+        new = [p for p in wanted if p not in known]
+        if len(known) + len(new) > REMEMBERED:
+            held = {p: known[p] for p in wanted if p in known}
+            known.clear()
+            known.update(held)
+        for p, x in zip(new, made.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            ids = x.ids
+            known[p] = struct.pack(f"<{len(ids)}I", *ids)
+        return [known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own)) for own in pieces]
 
     return SplitText(work)
 
@@ -194,12 +211,12 @@ def _encoder(path: str) -> SplitText:
 PACKED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("packed", T.BinaryType())])
 
 
-def tokenized(df: DataFrame, path: str, end_id: int, text: str = "text") -> DataFrame:
+def tokenized(df: DataFrame, path: str, pre_tokens: str, end_id: int, text: str = "text") -> DataFrame:
     """``df`` with ``n_tokens`` and ``packed`` ids (unsigned 32-bit, zstd) of every whole text, with ``end_id`` after each."""
     end = np.array([end_id], "<u4").tobytes()
 
     def make() -> Callable[[list], list]:
-        encode, squeeze = _encoder(path), zstandard.ZstdCompressor(level=1)
+        encode, squeeze = _encoder(path, pre_tokens), zstandard.ZstdCompressor(level=1)
 
         def work(texts):
             rows = [b"".join([*x, end]) for x in encode(texts)]
@@ -225,8 +242,8 @@ def id_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for x in batch.column("packed"):
-                total += np.bincount(_unpacked(x.as_py()), minlength=vocabulary)
+            for at in range(0, batch.num_rows, CHUNK_ROWS):
+                total += np.bincount(np.concatenate([_unpacked(x) for x in batch.column("packed").slice(at, CHUNK_ROWS).to_pylist()]), minlength=vocabulary)
         (seen,) = total.nonzero()
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
@@ -280,15 +297,15 @@ _BLOCK_ARROW = pa.schema(
 )
 
 
-def write_ids(df: DataFrame, path: str, tokenizer_path: str, end_id: int, key: str = "doc_id", text: str = "text") -> None:
-    """Encode every whole text and write the ids to ``path`` in ascending order of ``key`` (nulls first; equal keys in any order).
+def write_ids(df: DataFrame, path: str, tokenizer_path: str, pre_tokens: str, end_id: int, key: str = "doc_id", text: str = "text") -> None:
+    """Encode every whole text (``pre_tokens`` is the pattern of the tokenizer file's byte-level pre-tokens) and write the ids to ``path`` in ascending order of ``key`` (nulls first; equal keys in any order).
 
     The tokens are staged once in the shared folder: the table needs the counts
     of all of them before the first block can be coded.
     """
     spark = df.sparkSession
     staged = f"{shared_dir(spark).rstrip('/')}/ids-{uuid.uuid4().hex}"
-    tokenized(df.select(F.col(key).cast("long").alias(key), F.col(text).alias("text")), tokenizer_path, end_id).drop("text").write.option("compression", "none").parquet(staged)
+    tokenized(df.select(F.col(key).cast("long").alias(key), F.col(text).alias("text")), tokenizer_path, pre_tokens, end_id).drop("text").write.option("compression", "none").parquet(staged)
     tokens = spark.read.schema(T.StructType([T.StructField(key, T.LongType()), *PACKED])).parquet(staged)
     freq = quantised(id_counts(tokens, max(_tokenizer(tokenizer_path).get_vocab_size(), end_id + 1)))
     spark.createDataFrame(list(enumerate(freq.tolist())), "id int, freq int").coalesce(1).write.parquet(f"{path}/table")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,24 +56,6 @@ def _arrow(kind: T.DataType) -> pa.DataType:
 _INNER_SPACE = re.compile(r" (?=[\s\x1c-\x1f]|\Z)")
 
 
-class Recent:
-    """A map that keeps the entries used lately: two generations, each of at most ``size`` entries."""
-
-    def __init__(self, size: int = 400_000) -> None:
-        self.size, self.young, self.old = size, {}, {}
-
-    def get(self, key):
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
-        return found
-
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
-
-
 class SplitText:
     """Applies a function of pre-token sequences to a text, word by word.
 
@@ -82,38 +65,33 @@ class SplitText:
     (several spaces, a space before a line end) stays joined to the one before.
     """
 
-    def __init__(self, work: Callable[[list[str]], list], size: int = 400_000) -> None:
-        self.work, self.first, self.later = work, Recent(size), Recent(size)
+    def __init__(self, work: Callable[[list[str]], list], size: int = 350_000) -> None:
+        self.work, self.size = work, size
+        self.first: dict[str, object] = {}
+        self.later: dict[str, object] = {}
+        self.before: dict[str, object] = {}
 
     def __call__(self, texts: list[str]) -> list[list]:
         """Per text the results of its cuts, in order."""
         cut = [self._cut(t) for t in texts]
-        missing, found = {}, []
-        for parts in cut:
-            head = self.first.get(parts[0])
-            if head is None:
-                missing[(True, parts[0])] = None
-            young = self.later.young.get
-            rest = list(map(young, parts[1:]))
-            if None in rest:
-                for i, x in enumerate(rest):
-                    if x is None:
-                        rest[i] = x = self.later.get(parts[i + 1])
-                        if x is None:
-                            missing[(False, parts[i + 1])] = None
-            found.append([head, *rest])
+        self.first = self._known(self.first, {parts[0] for parts in cut}, "")
+        self.later = self._known(self.later, set(chain.from_iterable(parts[1:] for parts in cut)), " ")
+        first, later = self.first, self.later.__getitem__
+        return [[first[parts[0]], *map(later, parts[1:])] for parts in cut]
+
+    def _known(self, known: dict[str, object], wanted: set[str], before: str) -> dict[str, object]:
+        """``known`` with the results of the wanted cuts; a full memory starts anew with what is wanted now, and the one before it is asked as well."""
+        missing = [p for p in wanted if p not in known]
         if missing:
-            keys = list(missing)
-            made = self.work([p if head else " " + p for head, p in keys])
-            for (head, p), x in zip(keys, made, strict=True):
-                missing[(head, p)] = x
-                (self.first if head else self.later).put(p, x)
-            for parts, row in zip(cut, found, strict=True):
-                if None in row:
-                    for i, x in enumerate(row):
-                        if x is None:
-                            row[i] = missing[(i == 0, parts[i])]
-        return found
+            if len(known) + len(missing) > self.size:
+                if before:
+                    self.before = known
+                known = {p: known[p] for p in wanted if p in known}
+            if before and self.before:
+                known.update((p, self.before[p]) for p in missing if p in self.before)
+                missing = [p for p in missing if p not in known]
+            known.update(zip(missing, self.work([before + p for p in missing]), strict=True))
+        return known
 
     @staticmethod
     def _cut(text: str) -> list[str]:

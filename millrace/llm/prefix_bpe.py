@@ -135,7 +135,7 @@ class Codec:
 
     def __init__(self, vocabulary: Ranks, pattern: str, size: int = 400_000) -> None:
         self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
-        self.split = SplitText(self._cuts, size)
+        self.split = SplitText(self._cuts)
         self.known: dict[str, bytes] = {}
         self.size = size
         self.table = vocabulary.bytes_of

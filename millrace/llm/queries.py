@@ -29,7 +29,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/coded-{uuid.uuid4().hex}"
-    ans.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID)
+    ans.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, END_ID)
     return ans.read_ids(spark, path, digest=True)
 
 

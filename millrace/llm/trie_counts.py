@@ -82,10 +82,10 @@ class UnigramTrie:
 
 
 class Counter:
-    def __init__(self, vocabulary: Ranks, pattern: str, shift: float = SHIFT, size: int = 400_000) -> None:
+    def __init__(self, vocabulary: Ranks, pattern: str, shift: float = SHIFT) -> None:
         self.trie = UnigramTrie({b: -math.log(r + shift) for b, r in vocabulary.ranks.items()})
         self.pattern = regex.compile(pattern)
-        self.split = SplitText(self._cuts, size)
+        self.split = SplitText(self._cuts)
 
     def _cuts(self, cuts: list[str]) -> list[tuple[int, int]]:
         out = []

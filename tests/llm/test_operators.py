@@ -2,6 +2,7 @@
 
 import random
 import re
+import uuid
 import zlib
 from collections import Counter
 
@@ -95,12 +96,12 @@ def test_ids_round_trip(spark, sf_dir, texts):
 
 def test_ids_odd_rows(spark, odd, empty):
     own = odd.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    path = f"{shared_dir(spark)}/odd-ids"
-    ans.write_ids(own, path, public_tokenizers.path(queries.TOKENIZER), 2)
+    path = f"{shared_dir(spark)}/odd-ids-{uuid.uuid4().hex}"
+    ans.write_ids(own, path, public_tokenizers.path(queries.TOKENIZER), PATTERN, 2)
     assert set(rows(ans.read_ids(spark, path, digest=True))) == brute.ids_rows(pairs(own))
-    ans.write_ids(odd, path + "-all", public_tokenizers.path(queries.TOKENIZER), 2)
+    ans.write_ids(odd, path + "-all", public_tokenizers.path(queries.TOKENIZER), PATTERN, 2)
     assert ans.read_ids(spark, path + "-all").count() == odd.count()
-    ans.write_ids(empty, path + "-none", public_tokenizers.path(queries.TOKENIZER), 2)
+    ans.write_ids(empty, path + "-none", public_tokenizers.path(queries.TOKENIZER), PATTERN, 2)
     assert rows(ans.read_ids(spark, path + "-none")) == []
 
 
