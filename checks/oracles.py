@@ -280,8 +280,8 @@ group by i, j, sx, sy, xl, yl""")
     out["ols_trend"] = q(f"""select {r('regr_slope(delay_min, distance_km)')} as slope, {r('regr_intercept(delay_min, distance_km)')} as intercept,
   {r('regr_r2(delay_min, distance_km)')} as r2, count(*) as n from lab""")
     out["label_counts_filled"] = q("""select position, l.outlier_type, count(lab.outlier_type) as n
-from (values (0, 'normal'), (1, 'valid'), (2, 'suspicious'), (3, 'invalid')) l(position, outlier_type)
-left join (select * from lab where delay_min > -3) lab on lab.outlier_type = l.outlier_type group by 1, 2""")
+from (values (0, 'normal'), (1, 'valid'), (2, 'suspicious'), (3, 'invalid'), (4, 'unlabelled')) l(position, outlier_type)
+left join lab on lab.outlier_type = l.outlier_type group by 1, 2""")
     out["interpretation"] = q(f"""select {r('100.0 * invalid / outlier_rows')} as invalid_of_outliers_pct,
   {r('100.0 * suspicious / outlier_rows')} as suspicious_of_outliers_pct, {r('100.0 * rush_outliers / outlier_rows')} as outliers_in_rush_hour_pct,
   case when 100.0 * invalid / outlier_rows >= 20 then 'data_quality' when 100.0 * suspicious / outlier_rows >= 40 then 'unexplained' else 'realistic' end as verdict

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import col, one_row
+from millrace.functions.columns import col, one_row, small
 from millrace.operators import (
     chartdata, clean, cluster, encode, explain, features, kernel, metrics, models, neighbors, outliers, profile, select, split, stats, tuning,
 )
@@ -54,6 +54,8 @@ def union(parts: list[DataFrame]) -> DataFrame:
 
 def beside(df: DataFrame, one: DataFrame) -> DataFrame:
     """The columns of a one-row table on every row."""
+    if both := set(df.columns) & set(one.columns):
+        raise ValueError(f"both tables have {sorted(both)}")
     return df.withColumn("_one", one_row(one)).select(*df.columns, "_one.*")
 
 
@@ -80,7 +82,7 @@ def lab(spark, d, big=False) -> DataFrame:
 def group_mean_predictions(df: DataFrame, *by: str, shift: float = 0.0) -> DataFrame:
     """Predictions without a learner: the mean target per group, joined back."""
     means = df.groupBy(*by).agg((F.avg(TARGET) + F.lit(shift)).alias("y_pred"))
-    joined = df.join(means, list(by)) if by else df.withColumn("y_pred", means.scalar())
+    joined = df.join(small(means), list(by)) if by else df.withColumn("y_pred", means.scalar())
     return joined.withColumnRenamed(TARGET, "y_true")
 
 
@@ -376,8 +378,8 @@ def ols_trend(spark, d):
 
 @query
 def label_counts_filled(spark, d):
-    # targets of at least the lowest plausible value leave one label empty or nearly so
-    return outliers.label_counts(lab(spark, d).where(F.col(TARGET) > -3))
+    # the last label is never given, so its zero has to be filled in
+    return outliers.label_counts(lab(spark, d), labels=(*outliers.LABELS, "unlabelled"))
 
 
 @query
@@ -542,7 +544,7 @@ def rf_holdout(spark, d):
 @query
 def rf_weighted(spark, d):
     done = experiments.final_training(holdout_of(spark, d), small_forest("final"))
-    return beside(done.weights, done.metrics)
+    return beside(done.weights.withColumnRenamed("n", "n_train"), done.metrics)
 
 
 @query

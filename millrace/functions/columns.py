@@ -93,3 +93,15 @@ def sanitised(names: Iterable[str], pattern: str = r"[^0-9A-Za-z_\-]") -> list[s
         used.add(clean)
         out.append(clean)
     return out
+
+
+SMALL_ROWS = 10_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A table of figures by group as the side of a join that goes to all tasks, if it is seen to have few rows; else as it is.
+
+    Its size can't be estimated from its input, so it is counted. The wide side is then not dealt by a key of few values.
+    """
+    rows = df.limit(SMALL_ROWS + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= SMALL_ROWS else df

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col
+from millrace.functions.columns import col, small
 from millrace.operators.clean import Fence
 from millrace.operators.quantiles import Rank, order_stats
 from millrace.roles import Roles
@@ -50,8 +50,7 @@ def density(df: DataFrame, column: str, by: Column, bins: int = 40) -> DataFrame
     x = df.select(by.alias("series"), col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
     limits = x.groupBy("series").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("total"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    # usually a handful of series; the optimiser sees the size and chooses the join
-    placed = x.join(limits, "series").select(
+    placed = x.join(small(limits), "series").select(
         "series", "lo", "total", width.alias("w"),
         F.coalesce(F.least(F.floor(F.try_divide(F.col("x") - F.col("lo"), width)), F.lit(bins - 1)), F.lit(0)).cast("bigint").alias("bin"))
     return placed.groupBy("series", "bin", "lo", "w", "total").agg(F.count("*").alias("n")).select(

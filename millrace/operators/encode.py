@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +14,7 @@ from millrace.roles import LABEL_COLUMN, ROUTE_PREFIX, Roles, non_numeric_column
 
 MAX_WIDE = 5_000
 MAX_INDEXED = 1_000_000
-# Columns a routing classifier may see.
+# Roles that a routing classifier may see.
 CONTEXT_FEATURES = ("hour_sin", "hour_cos", "day_of_week", "is_weekend", "is_rush_hour",
                     "is_bad_weather", "temperature", "wind", "rain")
 
@@ -39,7 +39,8 @@ def fit_one_hot_vector(df: DataFrame, name: str, output: str | None = None) -> P
     """The same encoding as one sparse vector, for many values.
 
     The first value in order is the one left out; a missing value is read as
-    that first value and so becomes all zeros too.
+    that first value and so becomes all zeros too, and so does a value that was
+    not there when the encoding was fitted.
     """
     first, rough = df.agg(F.min(col(name)), F.approx_count_distinct(col(name))).first()
     if first is None:
@@ -48,9 +49,12 @@ def fit_one_hot_vector(df: DataFrame, name: str, output: str | None = None) -> P
         raise ValueError(f"column {name!r} has about {rough} values, more than the label index can hold")
     quoted = first.replace("\\", "\\\\").replace("'", "\\'")
     fill = SQLTransformer(statement=f"SELECT *, coalesce(`{name}`, '{quoted}') AS `{name}_filled` FROM __THIS__")
-    index = StringIndexer(inputCol=f"{name}_filled", outputCol=f"{name}_index", stringOrderType="alphabetDesc")
-    hot = OneHotEncoder(inputCol=f"{name}_index", outputCol=output or f"{name}_vector", dropLast=True)
-    return Pipeline(stages=[fill, index, hot]).fit(df)
+    index = StringIndexer(inputCol=f"{name}_filled", outputCol=f"{name}_index", stringOrderType="alphabetDesc", handleInvalid="keep")
+    hot = OneHotEncoder(inputCol=f"{name}_index", outputCol=f"{name}_all", dropLast=True)  # the last is what was not seen
+    fitted = Pipeline(stages=[fill, index, hot]).fit(df)
+    seen = len(fitted.stages[1].labels)
+    slots = VectorSlicer(inputCol=f"{name}_all", outputCol=output or f"{name}_vector", indices=list(range(seen - 1)))
+    return PipelineModel(stages=[*fitted.stages, slots])
 
 
 def unused_columns(roles: Roles = Roles(), keep_label: bool = False) -> list[str]:
@@ -75,8 +79,9 @@ def feature_columns(df: DataFrame, roles: Roles = Roles(), include_label_feature
     return names
 
 
-def context_columns(df: DataFrame) -> list[str]:
-    names = [c for c in CONTEXT_FEATURES if c in df.columns]
+def context_columns(df: DataFrame, roles: Roles = Roles()) -> list[str]:
+    """Columns with a contextual role, under whatever name the table has them, and route indicators."""
+    names = [c for c in (getattr(roles, role) for role in CONTEXT_FEATURES) if c in df.columns]
     names += [c for c in numeric_columns(df) if c.startswith(ROUTE_PREFIX)]
     if not names:
         raise ValueError("no contextual feature columns")
@@ -97,7 +102,7 @@ def clean_names(df: DataFrame) -> DataFrame:
 
 def column_plan(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """``(column, numeric, feature, contextual, safe_name)``: what each column will be used for; metadata only."""
-    features, context = set(feature_columns(df, roles)), set(context_columns(df))
+    features, context = set(feature_columns(df, roles)), set(context_columns(df, roles))
     text = set(non_numeric_columns(df))
     rows = [(c, c not in text, c in features, c in context, s) for c, s in zip(df.columns, sanitised(df.columns))]
     return df.sparkSession.createDataFrame(

@@ -146,7 +146,7 @@ def single_vs_dual(h: Holdout, preset: Forest = FORESTS["single"], classifier: F
     """One forest against a classifier that routes rows to a normal and an extreme forest."""
     single = h.forest(preset)
     one = h.scored(single)
-    routed = models.fit_routed(h.train, h.features, context or context_columns(h.train), h.target, h.roles.label,
+    routed = models.fit_routed(h.train, h.features, context or context_columns(h.train, h.roles), h.target, h.roles.label,
                                "target_class", preset, classifier)
     two = routed.transform(h.test, carry=["target_class", h.roles.label])
     a, b = (metrics.regression_metrics(s, "label", "prediction") for s in (one, two))

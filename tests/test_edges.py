@@ -260,3 +260,29 @@ def test_box_figures_share_groupings(spark):
     assert set(rows) == {("g", "0"), ("g", "1"), ("g", None), ("column", "all")}
     whole = rows["column", "all"]
     assert (whole["outliers"], whole["whisker_low"], whole["whisker_high"], whole["median"]) == (1, 1.0, 11.0, 6.5)
+
+
+def test_unseen_category_is_all_zeros(spark):
+    fitted = encode.fit_one_hot_vector(spark.createDataFrame([("a",), ("b",), ("c",)], "k string"), "k")
+    got = [r["k_vector"].toArray().tolist() for r in fitted.transform(spark.createDataFrame([("a",), ("b",), ("zz",), (None,)], "k string")).select("k_vector").collect()]
+    assert sum(got[1]) == 1 and got[0] == got[2] == got[3] == [0.0, 0.0]
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from millrace.sources.tables import read_observations
+
+    (tmp_path / "t.csv").write_text("wind,more,temperature\n3.5,x,25\n")
+    schema = T.StructType.fromDDL("temperature double, wind double")
+    assert [tuple(r) for r in read_observations(spark, str(tmp_path / "t.csv"), schema).collect()] == [(25.0, 3.5)]
+    with pytest.raises(ValueError, match="rain"):
+        read_observations(spark, str(tmp_path / "t.csv"), T.StructType.fromDDL("rain double"))
+
+
+def test_joins_with_group_figures_do_not_exchange_the_table(spark):
+    from millrace.functions.columns import small
+
+    table = spark.range(1000).selectExpr("id", "id % 2 as k")
+    plan = table.join(small(table.groupBy("k").count()), "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
