@@ -56,6 +56,11 @@ def _arrow(kind: T.DataType) -> pa.DataType:
 _INNER_SPACE = re.compile(r" (?=[\s\x1c-\x1f]|\Z)")
 
 
+def one_word(cut: str) -> bool:
+    """Whether a cut is plainly one pre-token: ASCII letters, with or without a space before them."""
+    return cut.isascii() and (cut[1:] if cut[:1] == " " else cut).isalpha()
+
+
 class SplitText:
     """Applies a function of pre-token sequences to a text, word by word.
 

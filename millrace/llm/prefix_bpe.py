@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from millrace.llm.common import SplitText, add_columns
+from millrace.llm.common import SplitText, add_columns, one_word
 
 _NEVER = 1 << 62
 
@@ -141,7 +141,7 @@ class Codec:
         self.table = vocabulary.bytes_of
 
     def _cuts(self, cuts: list[str]) -> list[bytes]:
-        return [b"".join(map(self._piece, self.pattern.findall(c))) for c in cuts]
+        return [self._piece(c) if one_word(c) else b"".join(map(self._piece, self.pattern.findall(c))) for c in cuts]
 
     def _piece(self, piece: str) -> bytes:
         found = self.known.get(piece)

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from millrace.llm.common import SplitText, add_columns
+from millrace.llm.common import SplitText, add_columns, one_word
 from millrace.llm.prefix_bpe import Ranks
 
 SHIFT = 2.7
@@ -86,13 +86,22 @@ class Counter:
         self.trie = UnigramTrie({b: -math.log(r + shift) for b, r in vocabulary.ranks.items()})
         self.pattern = regex.compile(pattern)
         self.split = SplitText(self._cuts)
+        self.terminals: dict[str, int] = {}
 
     def _cuts(self, cuts: list[str]) -> list[tuple[int, int]]:
-        out = []
-        for c in cuts:
-            pieces = self.pattern.findall(c)
-            out.append((len(pieces), sum(self.trie.count(p.encode("utf-8")) for p in pieces)))
-        return out
+        return [(1, self._terminal(c)) if one_word(c) else self._several(self.pattern.findall(c)) for c in cuts]
+
+    def _several(self, pieces: list[str]) -> tuple[int, int]:
+        return len(pieces), sum(map(self._terminal, pieces))
+
+    def _terminal(self, piece: str) -> int:
+        """The count at the piece's terminal; met before, it is not walked to again."""
+        found = self.terminals.get(piece)
+        if found is None:
+            if len(self.terminals) >= MAX_NODES:
+                self.terminals.clear()
+            found = self.terminals[piece] = self.trie.count(piece.encode("utf-8"))
+        return found
 
     def __call__(self, texts: list[str]) -> list[tuple[int, int]]:
         return [tuple(map(sum, zip(*x, strict=True))) for x in self.split(texts)]
