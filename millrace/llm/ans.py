@@ -25,6 +25,7 @@ States are in [2^31, 2^63); a lane below 2^31 takes the next word.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import CHUNK_ROWS, SplitText, add_columns, partitions
+from millrace.llm.common import CHUNK_ROWS, SplitText, add_columns, one_word, partitions
 from millrace.session import shared_dir
 
 PRECISION, LANES, SEGMENT = 18, 256, 256
@@ -50,6 +51,8 @@ PRECISION, LANES, SEGMENT = 18, 256, 256
 BLOCK_IDS, TOGETHER = 1 << 18, 8
 #: Pre-tokens whose ids a worker remembers.
 REMEMBERED = 300_000
+#: New pre-tokens handed to the library in one text, and what is put between them.
+AT_ONCE, MARK = 1000, "\n"
 _HEAD, _LOW = struct.Struct("<4sBBHIIII"), np.uint64(1 << 31)
 
 
@@ -180,6 +183,7 @@ def decode_blocks(table: Table, blobs: list[bytes]) -> list[np.ndarray]:
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are Spark's; threads of the library would only wait for each other
     made = Tokenizer.from_file(path)
     made.encode_special_tokens = True  # their strings in a text are ordinary text
     return made
@@ -191,18 +195,29 @@ def _encoder(path: str, pre_tokens: str) -> SplitText:
     made = _tokenizer(path)
 
     pattern, known = regex.compile(pre_tokens), {}
+    mark = made.encode(MARK, add_special_tokens=False).ids
+
+    def learn(new: list[str]) -> None:
+        """Printable pre-tokens go to the library in one text, a line end between them, which no pre-token goes over; others one by one."""
+        solid = [p for p in new if p.isprintable() and p[-1] != " "] if len(mark) == 1 else []
+        for at in range(0, len(solid), AT_ONCE):
+            some = solid[at : at + AT_ONCE]
+            ids = np.array(made.encode_batch_fast([MARK.join(some)], add_special_tokens=False)[0].ids, "<u4")
+            packed, ends = ids.tobytes(), np.flatnonzero(ids == mark[0]).tolist()
+            for p, a, b in zip(some, [0, *[e + 1 for e in ends]], [*ends, len(ids)], strict=True):
+                known[p] = packed[4 * a : 4 * b]
+        for p in set(new).difference(solid):
+            known[p] = np.array(made.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
 
     def work(cuts: list[str]) -> list[bytes]:
-        pieces = [[c] if c.isascii() and c[1:].isalpha() else pattern.findall(c) for c in cuts]
+        pieces = [[c] if one_word(c) else pattern.findall(c) for c in cuts]
         wanted = set(chain.from_iterable(pieces))
         new = [p for p in wanted if p not in known]
         if len(known) + len(new) > REMEMBERED:
             held = {p: known[p] for p in wanted if p in known}
             known.clear()
             known.update(held)
-        for p, x in zip(new, made.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            ids = x.ids
-            known[p] = struct.pack(f"<{len(ids)}I", *ids)
+        learn(new)
         return [known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own)) for own in pieces]
 
     return SplitText(work)
