@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col
@@ -52,9 +52,12 @@ def prepare(raw: DataFrame, roles: Roles = Roles(), sample_n: int | None = None,
     return Prepared(scoped, featured, cleaned, rules, labelled, modelling, final, tuple(dropped), roles, target)
 
 
-def _nested(table: DataFrame, name: str) -> DataFrame:
-    """A small table as one row holding an array of structs."""
-    return table.agg(F.collect_list(F.struct(*[col(c) for c in table.columns])).alias(name))
+def _nested(table: DataFrame, name: str, *order: Column) -> DataFrame:
+    """A small table as one row holding an array of structs, in the order of ``order``, then of the columns."""
+    places = [c.alias(f"o{i}") for i, c in enumerate(order)]
+    record = F.struct(*[col(c) for c in table.columns]).alias("record")
+    rows = F.sort_array(F.collect_list(F.struct(*places, record)))
+    return table.agg(F.transform(rows, lambda x: x["record"]).alias(name))
 
 
 def _record(table: DataFrame, name: str) -> DataFrame:
@@ -78,13 +81,13 @@ def report(p: Prepared) -> DataFrame:
         _record(profile.completeness_totals(p.final), "completeness_final"),
         _nested(p.cleaned.summary(p.featured, [roles.target, roles.speed]), "cleaning"),
         _record(profile.quality(p.final), "quality"),
-        _nested(stats.skew_ranking(p.final), "skewness"),
+        _nested(stats.skew_ranking(p.final), "skewness", -F.abs("skewness")),
         _record(outliers.detection_summary(label, p.rules), "detection"),
         _record(counts, "outlier_counts"),
         _nested(outliers.outlier_hours(label, roles), "hour_distribution_outliers"),
-        _nested(outliers.top_routes_report(label, roles), "top_routes"),
+        _nested(outliers.top_routes_report(label, roles), "top_routes", F.col("scope"), -F.col("mean_target")),
         _nested(outliers.target_by_outlier(label, roles), "target_summary"),
-        _nested(shift, "correlation_shift"),
+        _nested(shift, "correlation_shift", -F.col("abs_delta")),
         _record(outliers.interpretation(counts), "interpretation"),
         _record(profile.shape_report(p.raw, p.final), "shape"),
     ]

@@ -124,9 +124,10 @@ def test_neighbours_equal_brute_force_also_with_a_hot_vector(spark, monkeypatch,
 
 def test_neighbour_prediction_rules(spark):
     train = spark.createDataFrame([(1, 0.0, 10.0), (2, 0.0, 20.0), (3, 1.0, 99.0), (4, 3.0, 5.0)], "id long, x double, y double")
-    queries = spark.createDataFrame([(1, 0.0), (2, 2.0)], "id long, x double")
+    queries = spark.createDataFrame([(1, 0.0), (2, 2.0), (3, None)], "id long, x double")
     got = {r[0]: r[1] for r in neighbors.knn_predict(queries, train, ["x"], "y", "id", "id", k=3).collect()}
     assert got[1] == 15.0
+    assert len(got) == 3 and got[3] is None
     # distances 1, 1 and 2 (the smaller id of the two at distance 2)
     assert got[2] == pytest.approx((99.0 + 5.0 + 10.0 / 2) / 2.5)
     few = neighbors.knn_join(queries, train, ["x"], 10, "id", "id")
@@ -156,3 +157,7 @@ def test_report_covers_the_run(spark, sf_dir):
     assert row["shape"]["original_rows"] == 900 and row["quality"]["total_missing"] == 0
     assert sum(r["n"] for r in row["hour_distribution_outliers"]) == row["outlier_counts"]["outlier_rows"]
     assert any(c.startswith("route_") for c in p.final.columns)
+    skews = [abs(r["skewness"]) for r in row["skewness"]]
+    shifts = [r["abs_delta"] for r in row["correlation_shift"]]
+    routes = [(r["scope"], -r["mean_target"]) for r in row["top_routes"]]
+    assert skews == sorted(skews, reverse=True) and shifts == sorted(shifts, reverse=True) and routes == sorted(routes)
