@@ -55,25 +55,46 @@ def fingerprint(text, width=3):
     return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in values) > len(values))
 
 
+def shingle_set(text, width=5):
+    words = re.sub("[A-Z]", lambda m: m.group().lower(), text or "").encode().split()
+    return {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def near_rows(docs, least=0.8):
+    """(id, component) by the similarity of the sets of five-word shingles."""
+    sets = [shingle_set(t) for _, t in docs]
+    return [(d, c) for (d, _), c in zip(docs, components([d for d, _ in docs], lambda i, j: jaccard(sets[i], sets[j]) >= least))]
+
+
 def simhash_rows(docs, bits=3):
     prints = [(d, fingerprint(t)) for d, t in docs]
-    label = list(range(len(prints)))
+    found = components([d for d, _ in docs], lambda i, j: (prints[i][1] ^ prints[j][1]).bit_count() <= bits)
+    return [(d, f"{f:016x}", c) for (d, f), c in zip(prints, found)]
+
+
+def components(ids, linked):
+    """The least id (None is no name) of each row's component."""
+    label = list(range(len(ids)))
 
     def find(i):
         while label[i] != i:
             i = label[i]
         return i
 
-    for i in range(len(prints)):
+    for i in range(len(ids)):
         for j in range(i):
-            if (prints[i][1] ^ prints[j][1]).bit_count() <= bits:
+            if linked(i, j):
                 a, b = find(i), find(j)
                 label[max(a, b)] = min(a, b)
     least = {}
-    for i, (d, _) in enumerate(prints):
+    for i, d in enumerate(ids):
         if d is not None:
             least[find(i)] = min(d, least.get(find(i), d))
-    return [(d, f"{f:016x}", least.get(find(i))) for i, (d, f) in enumerate(prints)]
+    return [least.get(find(i)) for i in range(len(ids))]
 
 
 def luhn(digits):

@@ -300,7 +300,35 @@ def test_simhash_odd_rows(spark, odd, empty, monkeypatch):
     assert rows(simhash.near_duplicates(empty)) == [] and rows(simhash.one_of_each(empty)) == []
     kept = simhash.one_of_each(odd)
     assert kept.columns == odd.columns
-    assert Counter(r[0] for r in rows(kept, "doc_id")) == Counter({c for _, _, c in brute.simhash_rows(pairs(odd))})
+    assert Counter(r[0] for r in rows(kept, "doc_id")) == Counter({c for _, c in brute.near_rows(pairs(odd))})
+
+
+def test_wide_fingerprints_follow_similarity():
+    words = np.random.default_rng(3).permutation(4000).astype(str).tolist()
+
+    def differ(a, b):
+        return sum((x ^ y).bit_count() for x, y in zip(simhash.wide_fingerprint(a), simhash.wide_fingerprint(b), strict=True))
+
+    whole, changed, half = " ".join(words[:1000]), " ".join([*words[:500], "new", *words[501:1000]]), " ".join([*words[:500], *words[2000:2500]])
+    assert simhash.wide_fingerprint("") == simhash.wide_fingerprint(" \n") == (0, 0, 0, 0)
+    assert simhash.wide_fingerprint(whole) == simhash.wide_fingerprint(whole.upper() + "  ")
+    assert differ(whole, changed) <= 20 and simhash.WIDE_MOST < differ(whole, half) < 100 < differ(whole, " ".join(words[3000:]))
+
+
+def test_near_copies_by_the_hundred(spark, monkeypatch):
+    """Copies with one word in fifty changed become one row, whatever the cells, and other texts that share a third stay."""
+    monkeypatch.setattr(simhash, "CELL", 16)
+    rng, vocabulary = np.random.default_rng(5), np.arange(20000).astype(str)
+    passage = rng.choice(vocabulary, 60).tolist()
+    base = rng.choice(vocabulary, 300)
+    texts = []
+    for _ in range(150):
+        copy = base.copy()
+        copy[rng.integers(0, 300, 3)] = "other"
+        texts.append(" ".join(copy))
+    texts += [" ".join([*rng.choice(vocabulary, 120).tolist(), *passage]) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert sorted(r[0] for r in rows(simhash.one_of_each(df), "doc_id")) == [0, *range(150, 190)]
 
 
 def test_trie_join_in_a_ball_of_near_copies():

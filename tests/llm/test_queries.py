@@ -36,7 +36,7 @@ def test_pipeline_stages(spark, sf_dir, docs):
         if name == "exact dedup":
             assert alike(rows(out, "doc_id"), [(d,) for d, _, _, kept in plain_groups(before.items()) if kept])
         if name.startswith("SimHash"):
-            assert {d for (d,) in rows(out, "doc_id")} == {c for _, _, c in brute.simhash_rows(list(before.items()))}
+            near_copies_are_out(before, {d for (d,) in rows(out, "doc_id")})
         if name.startswith("byte"):
             library = brute.tiktoken_encoding(brute.ranks())
             assert all(list(memoryview(bytes(r["ids"])).cast("I")) == library.encode_ordinary(r["text"]) for r in out.collect())
@@ -47,6 +47,15 @@ def test_pipeline_stages(spark, sf_dir, docs):
     assert kept.join(clean, "doc_id").count() >= 0.9 * clean.count()
 
 
+def near_copies_are_out(before, kept):
+    """Nothing kept is close to anything else kept, and whatever went had a close text."""
+    sets = {d: brute.shingle_set(t) for d, t in before.items()}
+    assert kept and not [(a, b) for a in kept for b in kept if a < b and brute.jaccard(sets[a], sets[b]) >= 0.85]
+    # 256 bits estimate the similarity: few links lie below 0.7, none far below
+    best = sorted(max(brute.jaccard(sets[gone], sets[d]) for d in sets if d != gone) for gone in sets.keys() - kept)
+    assert best and best[0] >= 0.5 and best[len(best) // 10] >= 0.7, best
+
+
 def test_pipeline_odd_rows(spark, sf_dir, odd, empty):
     from pyspark.sql import DataFrame
 
