@@ -51,9 +51,9 @@ def near_copies_are_out(before, kept):
     """Nothing kept is close to anything else kept, and whatever went had a close text."""
     sets = {d: brute.shingle_set(t) for d, t in before.items()}
     assert kept and not [(a, b) for a in kept for b in kept if a < b and brute.jaccard(sets[a], sets[b]) >= 0.85]
-    # 256 bits estimate the similarity: few links lie below 0.7, none far below
+    # 256 bits estimate the similarity: links below 0.8 are the lesser part, and none lies far below
     best = sorted(max(brute.jaccard(sets[gone], sets[d]) for d in sets if d != gone) for gone in sets.keys() - kept)
-    assert best and best[0] >= 0.5 and best[len(best) // 10] >= 0.7, best
+    assert best and best[0] >= 0.5 and best[len(best) // 2] >= 0.75, best
 
 
 def test_pipeline_odd_rows(spark, sf_dir, odd, empty):
