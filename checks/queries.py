@@ -564,7 +564,7 @@ def gbt_holdout(spark, d):
 @query
 def kernel_reg(spark, d):
     h = holdout_of(spark, d)
-    model = kernel.fit_kernel_regression(h.train, h.features, TARGET, "sample_weight", size=64, iterations=20)
+    model = kernel.fit_kernel_regression(h.train, h.features, TARGET, "sample_weight", size=128, iterations=50)
     return metrics.regression_metrics(model.transform(h.test), TARGET, "prediction")
 
 
@@ -576,7 +576,7 @@ def kmeans_clusters(spark, d):
 
 @query
 def algorithm_tournament(spark, d):
-    t = experiments.tournament(holdout_of(spark, d), small_forest("baseline"), small_boosting("comparison"), waves=64, restarts=3)
+    t = experiments.tournament(holdout_of(spark, d), small_forest("baseline"), small_boosting("comparison"), waves=128, restarts=10)
     return t.before.join(t.change, "model")
 
 
@@ -601,7 +601,7 @@ def outlier_experiment(spark, d):
 
 @query
 def grid_search(spark, d):
-    grid = {"numTrees": [4, 8], "maxDepth": [4, 6], "minInstancesPerNode": [1, 2, 5]}
+    grid = {"numTrees": [4, 8], "maxDepth": [4, 5, 6], "minInstancesPerNode": [1, 2, 5]}
     h = holdout_of(spark, d)
     data = h.vectors(split.with_fold(h.train, KEY, 3))
     return tuning.grid_search(data, models.forest_regressor(small_forest("baseline"), "sample_weight"), grid, parallelism=4).leaders()
