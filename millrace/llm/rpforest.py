@@ -3,8 +3,9 @@
 Trees are fitted on a bounded sample: a node is split half way between two of
 its vectors. Every vector of the table is then dealt to one leaf of each tree. A
 query goes through all trees with one priority queue, nearest branch
-first, until the leaves it has opened hold SEARCH vectors. All vectors of these leaves are
-compared exactly, in double precision, on the original values.
+first, until the leaves it has opened hold a share of all vectors, each counted
+once whatever the number of trees that bring it; the sample stands for the table. All vectors of
+these leaves are compared exactly, in double precision, on the original values.
 
 Equal vectors are one entry with their least ids, so a vector that a third of the table
 shares fills no leaf. A leaf is compared in blocks of bounded size, whatever its size.
@@ -13,6 +14,7 @@ shares fills no leaf. A leaf is compared in blocks of bounded size, whatever its
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,8 +29,9 @@ from millrace.session import staged
 
 #: Numbers (rows times size) that trees are fitted on at most; trees; rows of the sample in a leaf.
 FIT_VALUES, TREES, LEAF = 2_000_000, 10, 64
-#: Vectors that a query's leaves hold before it stops, as a share of all and at least.
-SEARCH_SHARE, SEARCH_LEAST = 0.3, 4_000
+#: Distinct vectors that a query's leaves hold before it stops, as a share of all and at least.
+#: Vectors without any structure (64 normal numbers) need the share for 0.9 of the neighbours; those in clusters need less.
+SEARCH_SHARE, SEARCH_LEAST = 0.6, 4_000
 #: Distinct vectors in a block of a leaf.
 BLOCK, SALTS = 4096, 64
 
@@ -94,9 +97,21 @@ def _halves(sample: np.ndarray, rows: np.ndarray, r: np.random.Generator):
     return None
 
 
-def leaves_of(trees: list[Tree], sizes: list[np.ndarray], query: np.ndarray, enough: int) -> list[tuple[int, int]]:
-    """(tree, leaf) that a query opens: one queue for all trees, the branch with the least violated plane first."""
-    queue, out, held, turn = [], [], 0, 0
+def members_of(trees: list[Tree], sample: np.ndarray) -> list[list[np.ndarray]]:
+    """Rows of the sample in each leaf of each tree."""
+    out = []
+    for tree in trees:
+        leaf = tree.leaf_of(sample)
+        out.append(np.split(np.argsort(leaf, kind="stable"), np.cumsum(np.bincount(leaf, minlength=tree.leaves))[:-1]))
+    return out
+
+
+def leaves_of(trees: list[Tree], inside: list[list[np.ndarray]], n: int, query: np.ndarray, enough: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """(tree, leaf) that a query opens: one queue for all trees, the branch with the least violated plane first.
+
+    It stops when the leaves hold ``enough`` different ones of the ``n`` rows that ``inside`` deals to them; also which these are.
+    """
+    queue, out, held, turn, seen = [], [], 0, 0, np.zeros(n, bool)
     for t, tree in enumerate(trees):
         queue.append((0.0, turn, t, 0 if len(tree.normal) else -1))
         turn += 1
@@ -106,14 +121,23 @@ def leaves_of(trees: list[Tree], sizes: list[np.ndarray], query: np.ndarray, eno
         crossed, _, t, at = heapq.heappop(queue)
         if at < 0:
             out.append((t, -1 - at))
-            held += int(sizes[t][-1 - at])
+            rows = inside[t][-1 - at]
+            held += len(rows) - int(np.count_nonzero(seen[rows]))
+            seen[rows] = True
             continue
         margin = float(margins[t][at])
         side = int(margin >= 0)
         for s in (0, 1):
             heapq.heappush(queue, (crossed if s == side else max(crossed, abs(margin)), turn, t, int(trees[t].below[at, s])))
             turn += 1
-    return out
+    return out, seen
+
+
+def within(sample: np.ndarray, query: np.ndarray, k: int) -> float:
+    """A distance within which ``k`` of the sample's vectors lie: what is farther is none of the ``k`` nearest of a table that holds them."""
+    if len(sample) < k:
+        return float("inf")
+    return float(np.partition(np.sqrt(((sample - query) ** 2).sum(axis=1)), k - 1)[k - 1]) * (1 + 1e-9)  # sums may round in another way
 
 
 def usable(vector: Column) -> Column:
@@ -160,7 +184,8 @@ def nearest(df: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", v
     sizes = [np.zeros(t.leaves, np.int64) for t in forest]
     for r in in_leaf.groupBy("tree", "leaf").count().collect():  # as many rows as the forest has leaves
         sizes[r["tree"]][r["leaf"]] = r["count"]
-    enough = max(SEARCH_LEAST, int(SEARCH_SHARE * int(sizes[0].sum())))
+    share = max(SEARCH_SHARE, SEARCH_LEAST / int(sizes[0].sum()))
+    inside, enough = members_of(forest, sample), math.ceil(min(share, 1.0) * len(sample))
     blocks = [np.maximum(1, -(-s // BLOCK)) for s in sizes]
 
     queries = rows.filter("q").select("id", "v").distinct()
@@ -169,12 +194,13 @@ def nearest(df: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", v
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, v in zip(batch.column("search").to_pylist(), batch.column("v").to_pylist(), strict=True):
-                cells = [(t, leaf, b) for t, leaf in leaves_of(forest, sizes, np.array(v), enough) for b in range(blocks[t][leaf])]
+                opened, seen = leaves_of(forest, inside, len(sample), np.array(v), enough)
+                cells = [(t, leaf, b) for t, leaf in opened for b in range(blocks[t][leaf])]
                 n = len(cells)
-                columns = [pa.array([name] * n, pa.int64()), pa.array([v] * n, pa.list_(pa.float64())), *[pa.array([c[i] for c in cells], pa.int32()) for i in range(3)]]
-                yield pa.RecordBatch.from_arrays(columns, names=["search", "v", "tree", "leaf", "block"])
+                columns = [pa.array([name] * n, pa.int64()), pa.array([v] * n, pa.list_(pa.float64())), pa.array([within(sample[seen], np.array(v), k + 1)] * n, pa.float64()), *[pa.array([c[i] for c in cells], pa.int32()) for i in range(3)]]
+                yield pa.RecordBatch.from_arrays(columns, names=["search", "v", "bound", "tree", "leaf", "block"])
 
-    visits = alike.select("search", "v").mapInArrow(visit, "search long, v array<double>, tree int, leaf int, block int")
+    visits = alike.select("search", "v").mapInArrow(visit, "search long, v array<double>, bound double, tree int, leaf int, block int")
     block_of = F.element_at(F.element_at(F.lit([b.tolist() for b in blocks]), F.col("tree") + 1), F.col("leaf") + 1)
     members = in_leaf.withColumn("block", F.pmod(F.xxhash64("name"), block_of).cast("int"))
 
@@ -182,9 +208,9 @@ def nearest(df: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", v
         out = []
         if len(queries) and len(members):
             v, ids = _stacked(members["v"]), list(members["ids"])
-            for search, q in zip(queries["search"], queries["v"], strict=True):
+            for search, q, bound in zip(queries["search"], queries["v"], queries["bound"], strict=True):
                 distance = np.sqrt(((v - np.asarray(q, np.float64)) ** 2).sum(axis=1))
-                near = np.flatnonzero(distance <= np.partition(distance, min(k, len(distance) - 1))[min(k, len(distance) - 1)])
+                near = np.flatnonzero(distance <= min(bound, np.partition(distance, min(k, len(distance) - 1))[min(k, len(distance) - 1)]))
                 found = sorted((distance[i], int(x)) for i in near for x in ids[i])[: k + 1]
                 out += [(search, x, d) for d, x in found]
         return pd.DataFrame(out, columns=["search", "found", "score"]).astype({"search": "int64", "found": "int64", "score": "float64"})

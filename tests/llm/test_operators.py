@@ -230,6 +230,20 @@ def test_neighbours_recall(spark):
     assert hit / total >= 0.9
 
 
+def test_neighbours_recall_without_clusters(spark):
+    """Beyond the least number of vectors that a query sees, and with no structure that helps the trees."""
+    r = np.random.default_rng(1)
+    x = r.normal(size=(20000, 64))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = rows(rpforest.nearest(df, F.col("vec_id") % 100 == 0), "query_id", "vec_id")
+    known, hit = set(found), 0
+    for q in range(0, len(x), 100):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hit += len({(q, int(i)) for i in np.argsort(d)[:10]} & known)
+    assert len(found) == 2000 and hit / 2000 >= 0.93
+
+
 def test_neighbours_odd_vectors(spark, monkeypatch):
     bad = [None, [0.0, 0.0], [], [float("nan"), 1.0], [float("inf"), 1.0], [1.0, 2.0, 3.0]]
     vectors = [(i, x) for i, x in enumerate(bad)] + [(7, [1.0, None]), (None, [1.0, 1.0])]
