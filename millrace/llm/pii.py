@@ -107,18 +107,23 @@ def disclosing(docs: DataFrame, marked: DataFrame, n: int, with_kind: list[int])
     return joint.join(counts, "term").withColumn("degree", degree(F.col("n"))).filter(F.col("degree") >= GENERALISE).select("term", "kind", "degree")
 
 
-def _marked(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Documents without a base span (``key``) and, staged, those with one: ``__row``, key, text, flags."""
+def _marked(df: DataFrame, key: str, text: str, everywhere: bool) -> tuple[DataFrame, DataFrame]:
+    """Documents without a base span (``key``) and, staged, those with one: ``__row``, key, text, flags; ``everywhere``: all are among the latter."""
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     source = df.select(F.col(key).alias("__id"), value.alias("__text"))
     flags = _flags(F.col("__text"))
     some = flags[0] | flags[1] | flags[2] | flags[3]
+    if everywhere:
+        some = F.lit(True)
     with_spans = source.filter(some).select("__id", "__text", *[f.alias(f"f{i}") for i, f in enumerate(flags)], F.monotonically_increasing_id().alias("__row"))
     return source.filter(~some).select("__id"), staged(with_spans, "protected")
 
 
-def _all_spans(df: DataFrame, marked: DataFrame, text: str) -> DataFrame:
-    """``__row``, ``kind`` (number), ``start``, ``end`` of all spans of the marked documents; one exchange by document."""
+def _all_spans(df: DataFrame, marked: DataFrame, text: str, everywhere: bool) -> DataFrame:
+    """``__row``, ``kind`` (number), ``start``, ``end`` of all spans of the marked documents; one exchange by document.
+
+    A term counts where its document has a base span of the kind that it discloses, or ``everywhere``.
+    """
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     some = F.col("f0") | F.col("f1") | F.col("f2") | F.col("f3")
     flags = _flags(F.col("__text"))
@@ -126,9 +131,10 @@ def _all_spans(df: DataFrame, marked: DataFrame, text: str) -> DataFrame:
     own = marked.select("__row", *[f"f{i}" for i in range(len(KINDS))], _terms(F.col("__text"), some).alias("terms"))
     n = df.count()
     with_kind = [x or 0 for x in marked.agg(*[F.sum(F.col(f"f{i}").cast("long")) for i in range(len(KINDS))]).first()]
-    known = staged(disclosing(docs, own, n, with_kind), "terms")
+    known = staged(disclosing(docs, own.filter(some) if everywhere else own, n, with_kind), "terms")
     hint = F.broadcast(known) if known.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS else known
-    here = own.select("__row", F.array(*[F.col(f"f{i}") for i in range(len(KINDS))]).alias("flags"), F.explode("terms").alias("term")).join(hint, "term").filter("flags[kind]")
+    here = own.select("__row", F.array(*[F.col(f"f{i}") for i in range(len(KINDS))]).alias("flags"), F.explode("terms").alias("term")).join(hint, "term")
+    here = here if everywhere else here.filter("flags[kind]")
     worst = here.groupBy("__row", "term").agg(F.max("degree").alias("degree"))
     lists = worst.groupBy("__row").agg(*[F.concat_ws("|", F.sort_array(F.collect_list(F.when(c, F.col("term"))))).alias(a) for a, c in (("g", F.col("degree") < REMOVE), ("r", F.col("degree") >= REMOVE))])
     joined = marked.join(lists, "__row", "left")
@@ -160,22 +166,28 @@ def _written(spans: Column, kinds: int) -> Column:
     return F.array_join(F.transform(own, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
 
 
-def personal_data(df: DataFrame, key: str = "doc_id", text: str = "text", sanitised: bool = False) -> DataFrame:
+def personal_data(df: DataFrame, key: str = "doc_id", text: str = "text", sanitised: bool = False, everywhere: bool = False) -> DataFrame:
     """One row for every document: ``key``, ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``base_sha256``, ``spans``; ``sanitised``: also the text without them.
 
     Positions are code points, ends exclusive; spans are in the order of start, then kind. In the
     sanitised text a base span becomes its kind in brackets, a generalised term ``[term]``, and a removed
-    term nothing. Null and empty texts have no spans, repeated rows repeat, an empty table stays empty, extra columns play no part.
+    term nothing. Terms are looked for in documents with a base span of the kind that they disclose; ``everywhere``: in
+    all documents, also where a term stands alone. Null and empty texts have no spans, repeated rows repeat, an empty table stays empty, extra columns play no part.
     """
-    clean, marked = _marked(df, key, text)
-    spans = _all_spans(df, marked, text)
+    clean, marked = _marked(df, key, text, everywhere)
+    spans = _all_spans(df, marked, text, everywhere)
     grouped = spans.groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "done"))).alias("all"))
-    full = marked.select("__row", "__id", *(["__text"] if sanitised else [])).join(grouped, "__row")
+    full = marked.select("__row", "__id", *(["__text"] if sanitised else [])).join(grouped, "__row", "left" if everywhere else "inner")
+    if everywhere:
+        full = full.withColumn("all", F.coalesce("all", F.array().cast(grouped.schema["all"].dataType)))
     counts = [_count(i).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
     result = [F.col("__id").alias(key), *counts, F.sha2(_written(F.col("all"), len(KINDS)), 256).alias("base_sha256"), _written(F.col("all"), len(KINDS) + 2).alias("spans")]
     nothing = [F.col("__id").alias(key), *[F.lit(0).cast("long").alias(f"n_{k}") for k in KINDS], F.sha2(F.lit(""), 256).alias("base_sha256"), F.lit("").alias("spans")]
     if sanitised:
         result.append(_cleaned().alias("sanitised"))
+    if everywhere:
+        return full.select(result)
+    if sanitised:
         return full.select(result).unionByName(_whole(df, key, text).select(*nothing, F.col("__text").alias("sanitised")))
     return full.select(result).unionByName(clean.select(nothing))
 
@@ -195,6 +207,6 @@ def _cleaned() -> Column:
         gap = F.greatest(s["start"] - s["done"], F.lit(0))
         return F.concat(F.substring(text, (s["done"] + 1).cast("int"), gap.cast("int")), F.when(s["start"] >= s["done"], F.element_at(tags, s["kind"] + 1)).otherwise(F.lit("")))
 
-    end = F.array_max(F.transform(spans, lambda s: s["end"]))
+    end = F.coalesce(F.array_max(F.transform(spans, lambda s: s["end"])), F.lit(0).cast("long"))
     rest = F.substring(text, (end + 1).cast("int"), F.length(text))
     return F.concat(F.array_join(F.transform(spans, piece), ""), rest)

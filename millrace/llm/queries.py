@@ -61,7 +61,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.personal_data(table(spark, sf_dir, "documents"))
+    return pii.personal_data(table(spark, sf_dir, "documents"), everywhere=True)
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

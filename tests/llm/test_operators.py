@@ -388,6 +388,24 @@ def test_personal_data_terms_and_text(spark, empty):
     assert rows(pii.personal_data(empty)) == []
 
 
+def test_personal_data_terms_everywhere(spark, odd, empty, monkeypatch):
+    """A disclosing term goes also where it stands alone or beside another kind; nothing else changes."""
+    some = [(i, f"call zebrafone now +1 (456) 555-{2000 + i} or write x{i}@mail.example.com") for i in range(60)]
+    some += [(100 + i, "plain words of no interest now or call and write") for i in range(900)]
+    some += [(5000, "A zebrafone alone"), (5001, None), (5002, ""), (5003, "zebrafone at 10.0.0.1")]
+    df = spark.createDataFrame(some, "doc_id long, text string")
+    monkeypatch.setattr(queries, "table", lambda *a: df)
+    by_query = {r["doc_id"]: r["spans"] for r in queries.op9_personal_data(spark, "").collect()}
+    got = {r["doc_id"]: r for r in pii.personal_data(df, sanitised=True, everywhere=True).collect()}
+    old = {r["doc_id"]: r for r in pii.personal_data(df, sanitised=True).collect()}
+    assert len(got) == len(some) and by_query == {d: r["spans"] for d, r in got.items()}
+    assert got[5000]["spans"] == "remove:2:11" and got[5000]["sanitised"] == "A  alone"
+    assert got[5003]["spans"] == "remove:0:9,ip:13:21" and got[5003]["sanitised"] == " at [ip]"
+    assert all(got[d] == old[d] for d in old if d not in (5000, 5003))
+    assert alike(rows(pii.personal_data(odd, everywhere=True), "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"), rows(pii.personal_data(odd), "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"))
+    assert rows(pii.personal_data(empty, everywhere=True)) == []
+
+
 def test_personal_data_is_native(docs):
     plan = pii.personal_data(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
