@@ -24,6 +24,28 @@ from x join d using (doc_id)
 """
 
 
+PHRASES = r"""
+with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+s as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from d),
+p as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from s),
+t as (select lang, sum(len(w)) as n from p group by lang),
+i as (select lang, w, unnest(range(1, len(w) + 1)) as i from p),
+g as (select lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') as phrase from i, (select unnest([1, 2, 3, 4]) as k) where i + k - 1 <= len(w)),
+f as (select lang, k, phrase, count(*) as a from g group by all having count(*) >= 30),
+c as (select lang, k, phrase, a, string_split(phrase, ' ') as w from f where k > 1),
+u as (select lang, k, phrase, a, w, unnest(range(1, k)) as cut from c),
+b as (select u.lang, u.phrase, u.a, u.cut, l.a as l, r.a as r, (2000000 * cast(u.a as hugeint)) // (l.a + r.a) as score
+  from u join f l on l.lang = u.lang and l.phrase = array_to_string(list_slice(w, 1, cut), ' ') join f r on r.lang = u.lang and r.phrase = array_to_string(list_slice(w, cut + 1, u.k), ' ')),
+e as (select * from b qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+v as (select lang, a, k, w, unnest(range(2, k)) as s from c where k > 2),
+y as (select lang, a, w, k, s, unnest(range(1, k - s + 2)) as i from v),
+x as (select lang, array_to_string(list_slice(w, i, i + s - 1), ' ') as phrase, max(a) as longer from y group by all),
+z as (select e.* from e left join x using (lang, phrase) where longer is null or 100 * cast(longer as hugeint) < 80 * cast(a as hugeint)),
+o as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from z)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score from o join t using (lang) where rank <= 2000
+"""
+
+
 def _url_filter() -> str:
     rule = "case " + " ".join(
         f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{v}|{h}{p}'" for v, h, p in sorted(RULES, key=lambda r: -len(r[1]) - len(r[2]))
@@ -56,4 +78,4 @@ select page_id, host, path, split_part(found, '|', 2) as rule, case when found i
 """
 
 
-ORACLES = {"op4_mixing": MIXING, "op5_content_sort": CONTENT_SORT, "op10_url_filter": _url_filter()}
+ORACLES = {"op4_mixing": MIXING, "op5_content_sort": CONTENT_SORT, "op10_url_filter": _url_filter(), "op13_phrases": PHRASES}
