@@ -46,6 +46,28 @@ select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint
 """
 
 
+
+def _vector_codes() -> str:
+    """Five assignments with four updates between them, each distance by the components; ``vec_id`` is unique in the table."""
+    steps = [
+        """v as (select vec_id, label, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as z from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0)""",
+        "p as (select vec_id, label, part, list_slice(z, part * len(z) // 4 + 1, (part + 1) * len(z) // 4) as w from v, (select unnest([0, 1, 2, 3]) as part))",
+        "b0 as (select part, row_number() over (partition by part order by vec_id) - 1 as e, w as c from p qualify row_number() over (partition by part order by vec_id) <= 256)",
+    ]
+    for i in range(5):
+        steps.append(f"d{i} as (select vec_id, label, part, e, w, list_sum(list_transform(list_zip(w, c), lambda t: (t[1] - t[2]) * (t[1] - t[2]))) as far from p join b{i} using (part))")
+        steps.append(f"a{i} as (select * from d{i} qualify row_number() over (partition by vec_id, part order by far, e) = 1)")
+        if i < 4:
+            steps.append(f"u{i} as (select part, e, unnest(w) as x, unnest(range(1, len(w) + 1)) as at from a{i})")
+            steps.append(f"s{i} as (select part, e, at, cast(sum(x) as bigint) as s, count(*) as n from u{i} group by all)")
+            steps.append(f"m{i} as (select part, e, list((s - ((s % n) + n) % n) // n order by at) as c from s{i} group by all)")
+            steps.append(f"b{i + 1} as (select part, e, coalesce(m{i}.c, b{i}.c) as c from b{i} left join m{i} using (part, e))")
+    steps.append("h as (select sha256(string_agg(array_to_string(c, ','), ',' order by part, e)) as codebooks_sha256 from b4)")
+    steps.append("r as (select vec_id, label, string_agg(format('{:02x}', e), '' order by part) as code, sum(far) as error from a4 group by all)")
+    return f"with {', '.join(steps)} select vec_id, code, cast(error as bigint) as error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256 from r, h"
+
+
 def _url_filter() -> str:
     rule = "case " + " ".join(
         f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{v}|{h}{p}'" for v, h, p in sorted(RULES, key=lambda r: -len(r[1]) - len(r[2]))
@@ -78,4 +100,4 @@ select page_id, host, path, split_part(found, '|', 2) as rule, case when found i
 """
 
 
-ORACLES = {"op4_mixing": MIXING, "op5_content_sort": CONTENT_SORT, "op10_url_filter": _url_filter(), "op13_phrases": PHRASES}
+ORACLES = {"op4_mixing": MIXING, "op5_content_sort": CONTENT_SORT, "op10_url_filter": _url_filter(), "op11_vector_codes": _vector_codes(), "op13_phrases": PHRASES}

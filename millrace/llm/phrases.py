@@ -36,7 +36,7 @@ LEAST, LONGEST, INSIDE_PERCENT, SCALE, TOP = 30, 4, 80, 2_000_000, 2_000
 #: Shards of the mining; the local support is LEAST / SHARDS, rounded up.
 SHARDS = 8
 #: Bytes of text worked on at once, sequences held by a task before they are written, bytes of text per hash bucket.
-CHUNK, HELD, BUCKET_BYTES = 4 << 20, 6_000_000, 4 << 20
+CHUNK, HELD, BUCKET_BYTES = 2 << 20, 3_000_000, 4 << 20
 #: Most bits of the candidates' filter (32 MB), and probes for each key.
 FILTER_BITS, PROBES = 1 << 28, 3
 KEY_BITS = 48
@@ -230,13 +230,12 @@ def _frequent(batches: Iterator[pa.RecordBatch], support: int, bits: int) -> Ite
         return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([len(union)], pa.int64()), pa.array([np.packbits(field).tobytes()], pa.binary())], names=["bucket", "candidates", "field"])
 
     now, by_shard = None, {}
-    for batch in batches:
-        for bucket, shard, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if now is not None and bucket != now:
-                yield finished(now, by_shard)
-                by_shard = {}
-            now = bucket
-            by_shard.setdefault(shard, []).append(packed)
+    for bucket, shard, packed in (row for b in batches for at in range(0, b.num_rows, 64) for row in zip(*[c.to_pylist() for c in b.slice(at, 64).columns], strict=True)):
+        if now is not None and bucket != now:
+            yield finished(now, by_shard)
+            by_shard = {}
+        now = bucket
+        by_shard.setdefault(shard, []).append(packed)
     if now is not None:
         yield finished(now, by_shard)
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ans, content_dedup, hosts, mixing, phrases, pii, prefix_bpe, rpforest, simhash, toxicity, trie_counts
+from millrace.llm import ans, content_dedup, host_text, hosts, mixing, phrases, pii, prefix_bpe, rpforest, simhash, toxicity, trie_counts, vector_codes
 from millrace.session import shared_dir
 
 RANKS, TOKENIZER, END_ID = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json", 2
@@ -74,11 +74,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judge(pages, made.join(good, "doc_id").select("page_id", "good"), RULES)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_host_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "n_repeated")
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_token_ids, op3_byte_bpe, op4_mixing, op5_content_sort, op6_neighbours, op7_token_counts, op8_simhash, op9_personal_data, op10_url_filter, op13_phrases)
+    for f in (op1_toxicity, op2_token_ids, op3_byte_bpe, op4_mixing, op5_content_sort, op6_neighbours, op7_token_counts, op8_simhash, op9_personal_data, op10_url_filter, op11_vector_codes, op12_host_text, op13_phrases)
 }

@@ -15,7 +15,7 @@ from .test_operators import alike, pairs, plain_groups, rows
 
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
-    assert set(ORACLES) <= set(__spark_entry__.oracle_sql()) and {q.split("_")[0] for q in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert set(ORACLES) <= set(__spark_entry__.oracle_sql()) and {q.split("_")[0] for q in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
