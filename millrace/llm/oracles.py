@@ -59,9 +59,9 @@ def _vector_codes() -> str:
         steps.append(f"d{i} as (select vec_id, label, part, e, w, list_sum(list_transform(list_zip(w, c), lambda t: (t[1] - t[2]) * (t[1] - t[2]))) as far from p join b{i} using (part))")
         steps.append(f"a{i} as (select * from d{i} qualify row_number() over (partition by vec_id, part order by far, e) = 1)")
         if i < 4:
-            steps.append(f"u{i} as (select part, e, unnest(w) as x, unnest(range(1, len(w) + 1)) as at from a{i})")
-            steps.append(f"s{i} as (select part, e, at, cast(sum(x) as bigint) as s, count(*) as n from u{i} group by all)")
-            steps.append(f"m{i} as (select part, e, list((s - ((s % n) + n) % n) // n order by at) as c from s{i} group by all)")
+            steps.append(f"u{i} as (select part, e, unnest(w) as x, unnest(range(1, len(w) + 1)) as pos from a{i})")
+            steps.append(f"s{i} as (select part, e, pos, cast(sum(x) as bigint) as s, count(*) as n from u{i} group by all)")
+            steps.append(f"m{i} as (select part, e, list((s - ((s % n) + n) % n) // n order by pos) as c from s{i} group by all)")
             steps.append(f"b{i + 1} as (select part, e, coalesce(m{i}.c, b{i}.c) as c from b{i} left join m{i} using (part, e))")
     steps.append("h as (select sha256(string_agg(array_to_string(c, ','), ',' order by part, e)) as codebooks_sha256 from b4)")
     steps.append("r as (select vec_id, label, string_agg(format('{:02x}', e), '' order by part) as code, sum(far) as error from a4 group by all)")
