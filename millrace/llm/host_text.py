@@ -40,6 +40,9 @@ RUN, LEAST_PAGES, SHARE = 6, 3, 0.1
 #: Pages of a host from which it is dealt into groups, and pages of a group.
 GROUP = 4_096
 
+#: Most hosts and sequences of boilerplate that are sent to all tasks instead of dealing the pages out by host.
+BROADCAST_SEQUENCES = 250_000
+
 # What elements and names of classes mean.
 RAW = {"script", "style", "iframe", "noembed", "noframes", "xmp", "textarea", "title"}
 UNSEEN = {"script", "style"}
@@ -337,7 +340,10 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     keyed = pages.select(*[F.col(f"`{c}`") for c in names], host.alias("__host"), text.alias("__html")).join(small(big), "__host", "left")
     groups = F.ceil(F.coalesce("__pages", F.lit(1)) / GROUP)
     keyed = keyed.withColumn("__group", F.pmod(F.xxhash64("__html", F.col(f"`{url}`")), groups).cast("int"))
-    found = boilerplate(keyed.select("__host", "__group", "__pages", "__html"))
+    found = staged(boilerplate(keyed.select("__host", "__group", "__pages", "__html")), "boilerplate")
+    groups, sequences = found.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("sequences")), F.lit(0))).first()
+    if groups <= BROADCAST_SEQUENCES and sequences <= BROADCAST_SEQUENCES:  # at most a few MB; else the pages are dealt by host and group
+        found = F.broadcast(found)
     joined = keyed.drop("__pages").join(found, ["__host", "__group"], "left")
     schema = T.StructType([pages.schema[c] for c in names]).add("text", "string").add("n_chars", "long").add("n_repeated", "long")
 

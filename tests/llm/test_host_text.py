@@ -78,10 +78,11 @@ def extracted(spark, pages, **more):
     return {r["page_id"]: r for r in out.collect()}
 
 
-@pytest.mark.parametrize("group", [4096, 7, 2])
-def test_repeated_runs_go(spark, monkeypatch, group):
+@pytest.mark.parametrize(("group", "most"), [(4096, 250_000), (7, 250_000), (2, 0)])
+def test_repeated_runs_go(spark, monkeypatch, group, most):
     """Also where the host's pages are dealt into groups: then they are counted over all of them."""
     monkeypatch.setattr(host_text, "GROUP", group)
+    monkeypatch.setattr(host_text, "BROADCAST_SEQUENCES", most)
     pages = site(30, "a.org") + site(2, "b.org", "Start Aktuelles Sport Wetter Impressum Kontakt")
     got = extracted(spark, [(u, h) for u, h, _ in pages])
     for i, (_, h, text) in enumerate(pages):
