@@ -155,8 +155,8 @@ def shortlists(low: np.ndarray, high: np.ndarray, entries: np.ndarray) -> np.nda
     return (gap * gap).sum(2) <= (far * far).sum(2).min(1)[:, None]
 
 
-def _assigned(batches: Iterator[pa.RecordBatch], books: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None, list]]:
-    """Block by block: part, rows, pieces, shortlist, code of each piece among the shortlist (None if it has one entry), total."""
+def _assigned(batches: Iterator[pa.RecordBatch], books: np.ndarray) -> Iterator[tuple]:
+    """Block by block: part, rows, pieces, shortlist, code of each piece among the shortlist and its distance (None if it has one entry), total."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -172,14 +172,18 @@ def _assigned(batches: Iterator[pa.RecordBatch], books: np.ndarray) -> Iterator[
                     entries = np.flatnonzero(listed)
                     row = np.asarray(rows[i].values)
                     piece = np.asarray(pieces[i].values).reshape(len(row), -1)
-                    code = None if len(entries) == 1 else distances(piece, books[p][entries]).argmin(1)
-                    yield int(p), row, piece, entries, code, totals[i]
+                    code = far = None
+                    if len(entries) > 1:
+                        away = distances(piece, books[p][entries])
+                        code = away.argmin(1)
+                        far = away[np.arange(len(code)), code]
+                    yield int(p), row, piece, entries, code, far, totals[i]
 
 
 def _sums(batches: Iterator[pa.RecordBatch], books: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A task's sums: (part, entry, place, figure), with the number of pieces at place -1."""
     count, total = np.zeros(books.shape[:2], np.int64), np.zeros(books.shape, object)
-    for p, row, piece, entries, code, whole in _assigned(batches, books):
+    for p, row, piece, entries, code, _, whole in _assigned(batches, books):
         if code is None:
             count[p, entries[0]] += len(row)
             total[p, entries[0]] += np.array([int(x) for x in whole.as_py()], object)
@@ -200,14 +204,22 @@ def _sums(batches: Iterator[pa.RecordBatch], books: np.ndarray) -> Iterator[pa.R
 
 
 def _codes(batches: Iterator[pa.RecordBatch], books: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for p, row, piece, entries, code, _ in _assigned(batches, books):
-        code = entries[np.zeros(len(row), int) if code is None else code]
-        error = np.zeros(len(row), object)
-        for e in np.unique(code):
-            error[code == e] = distances(piece[code == e], books[p][e : e + 1])[:, 0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(row), pa.array(np.full(len(row), p, np.int32)), pa.array(code.astype(np.int32)), pa.array([Decimal(int(x)) for x in error], pa.decimal128(38, 0))], names=["row", "part", "code", "error"]
-        )
+    found = []
+
+    def written() -> pa.RecordBatch:
+        row, part, code, error = (np.concatenate(c) for c in zip(*found))
+        exact = pa.array(error).cast(pa.decimal128(38, 0)) if error.dtype != object else pa.array([Decimal(int(x)) for x in error], pa.decimal128(38, 0))
+        return pa.RecordBatch.from_arrays([pa.array(row), pa.array(part), pa.array(code), exact], names=["row", "part", "code", "error"])
+
+    for p, row, piece, entries, code, far, _ in _assigned(batches, books):
+        if code is None:
+            code, far = np.zeros(len(row), int), distances(piece, books[p][entries])[:, 0]
+        found.append((row, np.full(len(row), p, np.int32), entries[code].astype(np.int32), far))
+        if len(found) == AT_ONCE:
+            yield written()
+            found = []
+    if found:
+        yield written()
 
 
 def _means(books: np.ndarray, sums: list) -> np.ndarray:
