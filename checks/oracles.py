@@ -53,7 +53,7 @@ imp as (
   select obs_id, t, origin, destination, delay_min, is_weekend, route, is_rush_hour, is_bad_weather, {fills},
     coalesce(speed_normal, (select quantile_cont(speed_normal, 0.5) from feat)) as speed_normal
   from feat),
-ded as materialized (select distinct * from imp),
+ded as materialized (select min(obs_id) as obs_id, imp.* exclude (obs_id) from imp group by all),
 wb as materialized (
   select quantile_cont(delay_min, 0.01) as dl, quantile_cont(delay_min, 0.99) as dh,
          quantile_cont(speed_normal, 0.01) as sl, quantile_cont(speed_normal, 0.99) as sh from ded),
@@ -144,7 +144,7 @@ def oracle_sql() -> dict[str, str]:
     out["scope_sample"] = f"""with {OBS_CTES} select obs_id, delay_min from obs
 order by {hash52('obs_id', 42)}, obs_id limit 5000"""
     out["plot_sample"] = f"""{q(f'''select obs_id, {r('delay_min')} as delay_min, {r('speed_normal')} as speed_normal, outlier_type from lab
-order by {hash52('obs_id', 42)}, obs_id limit 12000''')}"""
+order by {hash52('obs_id', 42)}, obs_id limit 12000''', big=True)}"""
     out["sink_roundtrip"] = q(f"select route, outlier_type, count(*) as n, {r('avg(delay_min)')} as mean_target from lab group by 1, 2")
     out["feature_engineering"] = q(f"""
 select obs_id, t is not null as has_time, hour, day_of_week, is_weekend, route, is_rush_hour, is_bad_weather,
@@ -187,7 +187,8 @@ from (select delay_min between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) as
                         stddev_pop(delay_min) as s from lab where {train}) where {train})""")
     out["median_impute"] = q(f"""select obs_id, temperature, wind, rain, hour, day_of_week, {r('hour_sin')} as hour_sin,
   {r('hour_cos')} as hour_cos from imp""")
-    out["dedup"] = f"with {OBS_CTES} select distinct {raw_cols} from obs"
+    others = raw_cols.removeprefix("obs_id, ")
+    out["dedup"] = f"with {OBS_CTES} select min(obs_id) as obs_id, {others} from obs group by {others}"
     guarded = ["delay_min", "speed_normal", "rain", "day_of_week"]
     out["iqr_counts"] = q(_per_column(guarded, """select '{c}' as column_name,
   case when d <= 10 or q3 - q1 <= 0 then 0 else outside end as guarded_count, outside as plain_count from (
@@ -219,7 +220,7 @@ union all {_per_column(['delay_min', 'speed_normal'], '''select 'iqr_outliers',
   count(*) filter ({{c}} is null) as nulls, {r('100 - 100.0 * count(*) filter ({c} is null) / count(*)').replace('{c}', '{{c}}').format(c='{c}')} as complete_pct from obs""")
     out["completeness_totals"] = q(f"""select count(*) as rows, cast(20 as bigint) as columns, count(*) * 20 as total_cells,
   count(*) * 20 - cast({nulls} as bigint) as complete_cells, cast({nulls} as bigint) as null_cells from feat""")
-    out["quality"] = q(f"""select cast({nulls} as bigint) as total_missing, count(*) - (select count(*) from (select distinct * from feat)) as duplicate_rows,
+    out["quality"] = q(f"""select cast({nulls} as bigint) as total_missing, count(*) - (select count(*) from (select distinct * exclude (obs_id) from feat)) as duplicate_rows,
   {r(f'100 - 100.0 * ({nulls}) / (count(*) * 20)')} as quality_score from feat""")
     out["distincts"] = q(_per_column(["origin", "destination", "route", *NUMERIC], """select '{c}' as column_name,
   count(distinct {c}) as distinct_values, count(distinct {c}) + max(case when {c} is null then 1 else 0 end) as distinct_with_null,

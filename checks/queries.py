@@ -6,7 +6,6 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +14,7 @@ from millrace.functions.columns import col, one_row, small
 from millrace.operators import (
     chartdata, clean, cluster, encode, explain, features, kernel, metrics, models, neighbors, outliers, profile, select, split, stats, tuning,
 )
+from millrace.operators.forest import DeepForest
 from millrace.operators.models import BOOSTINGS, FORESTS
 from millrace.plans import experiments, preprocess
 from millrace.plans.experiments import Holdout, make_holdout
@@ -109,7 +109,7 @@ def scope_sample(spark, d):
 
 @query
 def plot_sample(spark, d):
-    return rounded(split.exact_sample(lab(spark, d), KEY, 12_000, columns=[TARGET, SPEED, "outlier_type"]).select(KEY, TARGET, SPEED, "outlier_type"))
+    return rounded(split.exact_sample(lab(spark, d, big=True), KEY, 12_000, columns=[TARGET, SPEED, "outlier_type"]).select(KEY, TARGET, SPEED, "outlier_type"))
 
 
 @query
@@ -209,7 +209,7 @@ def median_impute(spark, d):
 
 @query
 def dedup(spark, d):
-    return clean.dedup(obs(spark, d)).select(*RAW)
+    return clean.dedup(obs(spark, d), key=KEY).select(*RAW)
 
 
 @query
@@ -273,7 +273,7 @@ def completeness_totals(spark, d):
 @query
 def quality(spark, d):
     df = feats(spark, d)
-    return rounded(profile.quality(df, features.recomputable(df, OBS_ROLES)))
+    return rounded(profile.quality(df, [*features.recomputable(df, OBS_ROLES), KEY]))
 
 
 @query
@@ -492,17 +492,7 @@ def interaction_pairs(spark, d):
 
 
 # ---- learners: rows-only checks -------------------------------------------------------
-# Budgets are small because one machine runs all of them; every fit sees all training rows.
-
-SMALL = {"trees": 8, "depth": 6}
-
-
-def small_forest(name: str):
-    return FORESTS[name].scaled(**SMALL)
-
-
-def small_boosting(name: str):
-    return BOOSTINGS[name].scaled(rounds=8, depth=4)
+# All at their presets, on all training rows.
 
 
 def holdout_of(spark, d, stratified=False) -> Holdout:
@@ -524,10 +514,10 @@ def report_json(spark, d):
 @query
 def model_roundtrip(spark, d):
     h = holdout_of(spark, d)
-    done = experiments.final_training(h, small_forest("final"))
+    done = experiments.final_training(h, FORESTS["final"])
     path = f"{shared_dir(spark)}/model-{spark.sparkContext.applicationId}-{abs(hash(d)) % 10**8}"
     done.save(path)
-    again = h.scored(RandomForestRegressionModel.load(f"{path}/model")).select(KEY, F.col("prediction").alias("reloaded"))
+    again = h.scored(DeepForest.load(spark, f"{path}/model")).select(KEY, F.col("prediction").alias("reloaded"))
     both = h.scored(done.model).select(KEY, "prediction").join(again, KEY)
     return both.agg(F.count("*").alias("n"), F.max(F.abs(F.col("prediction") - F.col("reloaded"))).alias("largest_difference"))
 
@@ -535,7 +525,7 @@ def model_roundtrip(spark, d):
 @query
 def rf_holdout(spark, d):
     h = holdout_of(spark, d)
-    model = h.forest(small_forest("single"))
+    model = h.forest(FORESTS["single"])
     preds = metrics.predictions(h.scored(model))
     axis = metrics.prediction_range(preds)
     return beside(metrics.regression_metrics(preds), axis)
@@ -543,7 +533,7 @@ def rf_holdout(spark, d):
 
 @query
 def rf_weighted(spark, d):
-    done = experiments.final_training(holdout_of(spark, d), small_forest("final"))
+    done = experiments.final_training(holdout_of(spark, d), FORESTS["final"])
     return beside(done.weights.withColumnRenamed("n", "n_train"), done.metrics)
 
 
@@ -551,14 +541,23 @@ def rf_weighted(spark, d):
 def rf_classifier(spark, d):
     h = holdout_of(spark, d, stratified=True)
     context = encode.context_columns(h.train)
-    model = models.fit_once(models.forest_classifier(small_forest("classifier")), encode.assembled(h.train, context, "target_class"))
+    model = models.fit_forest(FORESTS["classifier"], encode.assembled(h.train, context, "target_class"), classifier=True)
     return metrics.classification_metrics(model.transform(encode.assembled(h.test, context, "target_class")), "label", "prediction")
 
 
+@query
+def route_learner(spark, d):
+    """The single forest without and with the indicators of the routes as a sparse vector."""
+    rows = staged(lab(spark, d).select(KEY, TARGET, "outlier_type", "route", *MODEL), "labelled")
+    both = encode.fit_one_hot_vector(rows, "route").transform(rows)
+    names = {"without": MODEL, "with": [*MODEL, "route_vector"]}
+    return metrics.comparison({n: (h := make_holdout(both, names=c)).metrics(h.forest(FORESTS["single"])) for n, c in names.items()})
+
+
 @query
 def gbt_holdout(spark, d):
     h = holdout_of(spark, d)
-    return metrics.comparison({n: h.metrics(h.boosting(small_boosting(n))) for n in ("comparison", "voting")})
+    return metrics.comparison({n: h.metrics(h.boosting(BOOSTINGS[n])) for n in ("comparison", "voting")})
 
 
 @query
@@ -576,65 +575,63 @@ def kmeans_clusters(spark, d):
 
 @query
 def algorithm_tournament(spark, d):
-    t = experiments.tournament(holdout_of(spark, d), small_forest("baseline"), small_boosting("comparison"), waves=128, restarts=10)
+    t = experiments.tournament(holdout_of(spark, d), FORESTS["baseline"], BOOSTINGS["comparison"], waves=128, restarts=10)
     return t.before.join(t.change, "model")
 
 
 @query
 def voting(spark, d):
     h = holdout_of(spark, d)
-    _, table, _ = experiments.voting(h, small_forest("baseline"), small_forest("voting"), small_boosting("voting"))
+    _, table, _ = experiments.voting(h, FORESTS["baseline"], FORESTS["voting"], BOOSTINGS["voting"])
     return table
 
 
 @query
 def dual_routing(spark, d):
-    both = experiments.single_vs_dual(holdout_of(spark, d, stratified=True), small_forest("single"), small_forest("classifier"))
+    both = experiments.single_vs_dual(holdout_of(spark, d, stratified=True), FORESTS["single"], FORESTS["classifier"])
     return both.comparison
 
 
 @query
 def outlier_experiment(spark, d):
-    done = experiments.outlier_experiment(holdout_of(spark, d), small_forest("experiment"))
+    done = experiments.outlier_experiment(holdout_of(spark, d), FORESTS["experiment"])
     return beside(done.metrics, done.removed)
 
 
 @query
 def grid_search(spark, d):
-    grid = {"numTrees": [4, 8], "maxDepth": [4, 5, 6], "minInstancesPerNode": [1, 2, 5]}
     h = holdout_of(spark, d)
     data = h.vectors(split.with_fold(h.train, KEY, 3))
-    return tuning.grid_search(data, models.forest_regressor(small_forest("baseline"), "sample_weight"), grid, parallelism=4).leaders()
+    return tuning.shared_grid_search(data, FORESTS["baseline"].spec(len(MODEL)), weight="sample_weight").leaders()
 
 
 @query
 def tuned_model(spark, d):
-    done = experiments.tune(holdout_of(spark, d), {"maxDepth": [4, 6], "minInstancesPerNode": [1, 5]}, small_forest("baseline"), parallelism=4)
+    done = experiments.tune(holdout_of(spark, d))
     return done.comparison.join(done.cv, "model")
 
 
 @query
 def cv_scores(spark, d):
     h = holdout_of(spark, d)
-    table, _ = experiments.regularised(h, small_forest("baseline"), small_forest("regularised"), parallelism=4)
+    table, _ = experiments.regularised(h)
     return table
 
 
 @query
 def importance(spark, d):
     h = holdout_of(spark, d)
-    return explain.importances(spark, h.forest(small_forest("baseline")), h.features)
+    return explain.importances(spark, h.forest(FORESTS["baseline"]), h.features)
 
 
 @query
 def tree_disagreement(spark, d):
     h = holdout_of(spark, d)
-    done = experiments.explained(h, small_forest("baseline"))
+    done = experiments.explained(h, FORESTS["baseline"])
     return beside(done.uncertain, done.disagreement)
 
 
 @query
 def optimisation_chain(spark, d):
     h = holdout_of(spark, d)
-    return experiments.optimise(h, small_forest("baseline"), small_forest("voting"), small_boosting("voting"), small_forest("regularised"),
-                                parallelism=4).log
+    return experiments.optimise(h).log

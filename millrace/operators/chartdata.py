@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, small
-from millrace.operators.clean import Fence
-from millrace.operators.quantiles import Rank, order_stats
+from millrace.operators.quantiles import group_quantiles
 from millrace.roles import Roles
+from millrace.session import staged
 
 
 def _bin(x: Column, low: float, high: float, bins: int) -> Column:
@@ -61,24 +61,23 @@ def density(df: DataFrame, column: str, by: Column, bins: int = 40) -> DataFrame
 def box_figures(df: DataFrame, value: str, by: Sequence[str | None] = (None,), width: float = 1.5) -> DataFrame:
     """``(grouping, series, q1, median, q3, whisker_low, whisker_high, outliers, n)`` for each grouping column.
 
-    ``None`` stands for the whole column. All groupings share the passes.
-    Quartiles come from distributed selection, so a group may hold most of the table.
+    ``None`` stands for the whole column. One pass over the data counts its values for all groupings together; quartiles and
+    whiskers come from the counts, for any number of groups, of which one may hold most of the table.
     """
     series = [F.struct(F.lit(b or "column").alias("grouping"), (col(b).cast("string") if b else F.lit("all")).alias("series")) for b in by]
-    known = df.select(F.array(*series).alias("series"), col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
-    x = known.select(F.explode("series").alias("s"), "x").select("s.grouping", "s.series", "x")
-    rows = []
-    for group, per in order_stats(x, {"x": [0.25, 0.5, 0.75]}, by=["grouping", "series"]).items():
-        q1, q2, q3 = (per["x"][Rank(p)].value for p in (0.25, 0.5, 0.75))
-        f = Fence.around(q1, q3, width)
-        rows.append((*group, q1, q2, q3, f.low, f.high))
-    table = x.sparkSession.createDataFrame(rows, "g string, s string, q1 double, median double, q3 double, low double, high double")
-    # one row per group, and the number of groups was checked
-    joined = x.join(F.broadcast(table), (F.col("grouping") == F.col("g")) & F.col("series").eqNullSafe(F.col("s")))
+    known = df.select(F.array(*series).alias("s"), col(value).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    together = known.groupBy("s", "x").agg(F.count(F.lit(1)).alias("copies"))
+    single = together.select(F.explode("s").alias("s"), "x", "copies").select("s.grouping", "s.series", "x", "copies")
+    counts = staged(single.groupBy("grouping", "series", "x").agg(F.sum("copies").alias("copies")), "box-counts")
+    table = group_quantiles(counts, ["grouping", "series"], "x", [0.25, 0.5, 0.75])
+    q1, q3 = F.col("q1"), F.col("q3")
+    table = table.select(F.col("grouping").alias("g"), F.col("series").alias("t"), *[F.col("q")[i].alias(c) for i, c in enumerate(("q1", "median", "q3"))])
+    fence = table.withColumns({"low": q1 - F.lit(width) * (q3 - q1), "high": q3 + F.lit(width) * (q3 - q1)})
+    joined = counts.join(small(fence), (F.col("grouping") == F.col("g")) & F.col("series").eqNullSafe(F.col("t")))
     inside = F.col("x").between(F.col("low"), F.col("high"))
     return joined.groupBy("grouping", "series", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("x"))).alias("whisker_low"), F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"), F.count("*").alias("n"))
+        F.sum(F.when(~inside, F.col("copies")).otherwise(0)).alias("outliers"), F.sum("copies").alias("n"))
 
 
 def hourly_band(df: DataFrame, roles: Roles = Roles()) -> DataFrame:

@@ -52,15 +52,22 @@ def fit_median_imputer(df: DataFrame, exclude: Sequence[str] = ()) -> MedianImpu
     return MedianImputer(row["n"], nulls, medians(df, gaps, at_most=row["n"]) if gaps else {}, tuple(candidates))
 
 
-def dedup(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Whole-row distinct, NULL equal to NULL. Copies collapse on the map side before the shuffle."""
-    return df.dropDuplicates(list(subset) if subset else df.columns)
+def dedup(df: DataFrame, subset: Sequence[str] | None = None, key: str | None = None) -> DataFrame:
+    """Whole-row distinct, NULL equal to NULL. Copies collapse on the map side before the shuffle.
+
+    A row ``key`` takes no part in the comparison: of rows that are equal but for it the smallest key stays.
+    """
+    if key is None or key not in df.columns:
+        return df.dropDuplicates(list(subset) if subset else df.columns)
+    compared = [c for c in df.columns if c != key]
+    smallest = df.groupBy(*[col(c) for c in compared]).agg(F.min(col(key)).alias(key))
+    return smallest.select(*[col(c) for c in df.columns])
 
 
 def duplicate_rows(df: DataFrame, determined: Collection[str] = ()) -> DataFrame:
     """Number of rows beyond the first of each set of equal rows, as one row.
 
-    ``determined`` are columns that follow from the others and need not be compared.
+    ``determined`` are columns that need not be compared: the row key, and what follows from the others.
     """
     keys = [col(c) for c in df.columns if c not in determined]
     copies = df.groupBy(*keys).agg(F.count("*").alias("n"))
@@ -233,7 +240,7 @@ class Cleaned:
 
 def clean(df: DataFrame, targets: Sequence[str], key: str | None = None, stage=None,
           recompute: Mapping[str, Column] | None = None) -> Cleaned:
-    """Impute, then de-duplicate, then winsorize ``targets``, in that order.
+    """Impute, then de-duplicate (but for the ``key``), then winsorize ``targets``, in that order.
 
     ``recompute`` names columns that are functions of the remaining raw ones
     (``features.recomputable``): they cannot tell rows apart, so they are left
@@ -244,7 +251,7 @@ def clean(df: DataFrame, targets: Sequence[str], key: str | None = None, stage=N
     """
     imputer = fit_median_imputer(df, exclude=[key] if key else [])
     recompute = {c: e for c, e in (recompute or {}).items() if c in df.columns}
-    deduped = dedup(imputer.transform(df.drop(*recompute), [c for c in df.columns if c not in recompute]))
+    deduped = dedup(imputer.transform(df.drop(*recompute), [c for c in df.columns if c not in recompute]), key=key)
     if recompute:
         deduped = imputer.transform(deduped.withColumns(recompute), recompute).select(*[col(c) for c in df.columns])
     if stage is not None:

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col, flag, sanitised
+from millrace.functions.columns import col, flag, sanitised, small
 from millrace.roles import LABEL_COLUMN, ROUTE_PREFIX, Roles, non_numeric_columns, numeric_columns
+from millrace.session import staged
 
-MAX_WIDE = 5_000
-MAX_INDEXED = 1_000_000
+MAX_WIDE = 5_000  # columns a schema should not exceed; the vector has no such limit
 # Roles that a routing classifier may see.
 CONTEXT_FEATURES = ("hour_sin", "hour_cos", "day_of_week", "is_weekend", "is_rush_hour",
                     "is_bad_weather", "temperature", "wind", "rain")
@@ -35,26 +35,56 @@ def one_hot(df: DataFrame, name: str, values: Sequence[str] | None = None, prefi
     return df.select("*", *new)
 
 
-def fit_one_hot_vector(df: DataFrame, name: str, output: str | None = None) -> PipelineModel:
-    """The same encoding as one sparse vector, for many values.
+@dataclass(frozen=True)
+class CategoryVector:
+    """Sparse indicator vectors from a table of values and slots; as many values as there are rows will do."""
 
-    The first value in order is the one left out; a missing value is read as
-    that first value and so becomes all zeros too, and so does a value that was
-    not there when the encoding was fitted.
+    column: str
+    output: str
+    index: DataFrame
+    slots: int
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        known = self.index.select(F.col("value").alias("_value"), F.col("slot").cast("double").alias("_slot"))
+        joined = df.join(small(known), col(self.column) == F.col("_value"), "left")
+        # missing, unseen and the first value take the place behind the last slot, which the encoder leaves out
+        placed = joined.withColumn("_place", F.coalesce(F.when(F.col("_slot") >= 0, F.col("_slot")), F.lit(float(self.slots))))
+        ends = df.sparkSession.createDataFrame([(0.0,), (float(self.slots),)], "_place double")
+        hot = OneHotEncoder(inputCol="_place", outputCol=self.output, dropLast=True).fit(ends)
+        return hot.transform(placed).select(*[col(c) for c in df.columns if c != self.output], self.output)
+
+    def save(self, path: str) -> None:
+        self.index.withColumns({"column": F.lit(self.column), "output": F.lit(self.output), "slots": F.lit(self.slots)}).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> CategoryVector:
+        table = spark.read.parquet(path)
+        row = table.first()
+        return CategoryVector(row["column"], row["output"], table.select("value", "slot"), row["slots"])
+
+
+def fit_one_hot_vector(df: DataFrame, name: str, output: str | None = None, stage=staged) -> CategoryVector:
+    """The same encoding as one sparse vector, for any number of values.
+
+    The first value in order is the one left out; a missing value becomes all
+    zeros too, and so does a value that was not there when the encoding was
+    fitted. Values are numbered in order without a single task or the driver
+    holding them: they are sorted by ranges, and a value's number is its place in
+    its range plus the sizes of the ranges before.
     """
-    first, rough = df.agg(F.min(col(name)), F.approx_count_distinct(col(name))).first()
-    if first is None:
+    values = df.select(col(name).alias("value")).where(F.col("value").isNotNull()).distinct()
+    ranged = values.repartitionByRange("value").sortWithinPartitions("value").withColumn("id", F.monotonically_increasing_id())
+    ranged = stage(ranged.select("value", F.shiftright("id", 33).cast("int").alias("range"), F.col("id").bitwiseAND((1 << 33) - 1).alias("place")), "categories")
+    sizes = {r["range"]: r["n"] for r in ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
         raise ValueError(f"column {name!r} has no values to encode")
-    if rough > MAX_INDEXED:
-        raise ValueError(f"column {name!r} has about {rough} values, more than the label index can hold")
-    quoted = first.replace("\\", "\\\\").replace("'", "\\'")
-    fill = SQLTransformer(statement=f"SELECT *, coalesce(`{name}`, '{quoted}') AS `{name}_filled` FROM __THIS__")
-    index = StringIndexer(inputCol=f"{name}_filled", outputCol=f"{name}_index", stringOrderType="alphabetDesc", handleInvalid="keep")
-    hot = OneHotEncoder(inputCol=f"{name}_index", outputCol=f"{name}_all", dropLast=True)  # the last is what was not seen
-    fitted = Pipeline(stages=[fill, index, hot]).fit(df)
-    seen = len(fitted.stages[1].labels)
-    slots = VectorSlicer(inputCol=f"{name}_all", outputCol=output or f"{name}_vector", indices=list(range(seen - 1)))
-    return PipelineModel(stages=[*fitted.stages, slots])
+    before, offsets = 0, []
+    for i in range(max(sizes) + 1):
+        offsets.append(before)
+        before += sizes.get(i, 0)
+    starts = F.array(*[F.lit(x).cast("bigint") for x in offsets])
+    index = ranged.select("value", (F.get(starts, F.col("range")) + F.col("place") - 1).alias("slot"))
+    return CategoryVector(name, output or f"{name}_vector", index, before - 1)
 
 
 def unused_columns(roles: Roles = Roles(), keep_label: bool = False) -> list[str]:

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from millrace.functions.columns import col
+from millrace.session import staged
 
 GRID = 1000
 SKETCH = 4000
@@ -128,7 +129,7 @@ def order_stats(
 ) -> dict[tuple, dict[str, dict[Rank, OrderStat]]]:
     """Exact order statistics per group: ``{group: {column: {rank: stat}}}``.
 
-    ``by`` must have few values (flags, labels); without it the only group is ``()``.
+    ``by`` must have few values (flags, labels); without it the only group is ``()``. For any number of groups see `group_quantiles`.
     NULL and NaN are ignored. ``at_most`` is a known upper bound of the number
     of rows; below the sortable size the first pass then only counts.
     """
@@ -145,7 +146,7 @@ def order_stats(
     rows = _two_level(base, keys, [(f"s{i}", F.lit(None), F.col(f"v{i}"), F.lit(None)) for i in range(len(columns))],
                       None if at_most is not None and at_most <= sortable else probs, limit=MAX_GROUPS + 1)
     if len(rows) > MAX_GROUPS:
-        raise ValueError(f"exact quantiles by {by}: more than {MAX_GROUPS} groups")
+        raise ValueError(f"exact quantiles by {by}: more than {MAX_GROUPS} groups; use group_quantiles")
 
     groups = [tuple(r[k] for k in keys) for r in rows]
     # one bracket per (group, column, rank); they start as the whole column
@@ -187,7 +188,7 @@ def order_stats(
             if inner.between <= sortable or not shrunk:
                 open_.discard(t)
 
-    picked = _select(base, df, columns, keys, groups, state, need)
+    picked = _select(base, keys, groups, state, need, sortable)
     out: dict[tuple, dict[str, dict[Rank, OrderStat]]] = {}
     for g, group in enumerate(groups):
         per_col = out.setdefault(group, {})
@@ -274,8 +275,8 @@ def _measure(base, keys, groups, brackets, probs) -> dict:
     return out
 
 
-def _select(base, df, columns, keys, groups, state, need) -> dict:
-    """Sort the bounded brackets and read the values at the wanted ranks."""
+def _select(base, keys, groups, state, need, sortable) -> dict:
+    """Sort the brackets, by ranges if one is larger than a task sorts, and read the values at the wanted ranks."""
     if not state:
         return {}
     # ranks that share the same bracket in every group share one sorted list
@@ -300,8 +301,11 @@ def _select(base, df, columns, keys, groups, state, need) -> dict:
         joined = joined.where(near)
     values = joined.select(*keys, F.explode(F.array_compact(F.array(*entries))).alias("e")).select(*keys, "e.slot", "e.value")
     counts = values.groupBy(*keys, "slot", "value").agg(F.count("*").alias("copies"))
-    window = Window.partitionBy(*keys, "slot").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("upto", F.sum("copies").over(window))
+    if all(b.between <= sortable for b in brackets.values()):
+        window = Window.partitionBy(*keys, "slot").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = counts.withColumn("upto", F.sum("copies").over(window))
+    else:  # a bracket between two hot ends that narrowing can't part
+        ranked = running_counts(counts, [*keys, "slot"], "value")
 
     index = {slot: n for n, slot in enumerate(slots)}
     asked = sorted({
@@ -324,6 +328,55 @@ def _select(base, df, columns, keys, groups, state, need) -> dict:
     }
 
 
+def running_counts(counts: DataFrame, by: Sequence[str], value: str, copies: str = "copies", stage=staged) -> DataFrame:
+    """``counts`` (one row for each group and value) with ``upto``, the copies up to and with the value in its group, and ``n``, those of the group.
+
+    For any number of groups of any size: rows are sorted by ranges of (group, value), so a large group lies in several
+    ranges; the running counts within a range are moved on by the sizes of the group's pieces in the ranges before.
+    """
+    by = list(by)
+    ranged = counts.repartitionByRange(*by, value).sortWithinPartitions(*by, value)
+    ranged = stage(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    pieces = ranged.groupBy("_range", *by).agg(F.sum(copies).alias("_piece"))
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # a row for each range
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = pieces.select(F.col("_range").alias("_r"), *[F.col(b).alias(f"_{b}") for b in by], (F.sum("_piece").over(before) - F.col("_piece")).alias("_before"), F.sum("_piece").over(group).alias("n"))
+    within = Window.partitionBy("_range", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = F.col("_range") == F.col("_r")
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"_{b}"))
+    joined = ranged.withColumn("_upto", F.sum(copies).over(within)).join(pieces, same)
+    return joined.select(*by, value, copies, (F.col("_before") + F.col("_upto")).alias("upto"), "n")
+
+
+def group_quantiles(counts: DataFrame, by: Sequence[str], value: str, ranks: Sequence[Rank | float], copies: str = "copies", stage=staged) -> DataFrame:
+    """``by``, ``n`` and ``q`` (one value for each rank) of every group, as a table: the groups may be any number.
+
+    ``counts`` has one row for each group and value.
+    """
+    by, ranks = list(by), [r if isinstance(r, Rank) else Rank(float(r)) for r in ranks]
+    running = running_counts(counts, by, value, copies, stage)
+    n, found = F.col("n"), []
+    for r in ranks:
+        if r.smallest is not None:
+            low = F.least(n, F.lit(r.smallest)) - 1
+            high, part = low, F.lit(0.0)
+        elif r.interpolated:
+            at = F.lit(r.p) * (n - 1)
+            low = F.least(n - 1, F.floor(at))
+            part = at - low
+            high = F.when(part > 0, low + 1).otherwise(low)
+        else:
+            low = F.least(n, F.greatest(F.lit(1), F.ceil(F.round(F.lit(r.p) * n, 9)))) - 1
+            high, part = low, F.lit(0.0)
+        ends = [F.max(F.when((F.col("upto") > k) & (F.col("upto") - F.col(copies) <= k), F.col(value))) for k in (low, high)]
+        found.append((*ends, F.max(part)))
+    names = [(f"_l{i}", f"_h{i}", f"_p{i}") for i in range(len(ranks))]
+    flat = [c.alias(x) for f, x3 in zip(found, names) for c, x in zip(f, x3)]
+    values = [F.when(F.col(lo) == F.col(hi), F.col(lo)).otherwise(F.col(lo) + (F.col(hi) - F.col(lo)) * F.col(p)) for lo, hi, p in names]
+    return running.groupBy(*by).agg(F.max("n").alias("n"), *flat).select(*by, "n", F.array(*values).alias("q"))
+
+
 def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], **kw) -> dict[str, dict[float, float | None]]:
     """Interpolated exact quantiles of whole columns: ``{column: {p: value}}``."""
     found = order_stats(df, wanted, **kw).get((), {})
@@ -332,10 +385,3 @@ def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], **kw) -> dic
 
 def medians(df: DataFrame, columns: Sequence[str], **kw) -> dict[str, float | None]:
     return {c: per[0.5] for c, per in quantiles(df, {c: [0.5] for c in columns}, **kw).items()}
-
-
-def approximate_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy: int = 10_000) -> dict[str, dict[float, float]]:
-    """One-pass bounded-memory variant with rank error ``1 / accuracy``."""
-    aggs: list[Column] = [F.percentile_approx(col(c), list(ps), accuracy).alias(f"v{i}") for i, (c, ps) in enumerate(wanted.items())]
-    row = df.agg(*aggs).first()
-    return {c: dict(zip(ps, row[i] or [None] * len(ps))) for i, (c, ps) in enumerate(wanted.items())}

@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import HASH_SPACE, col, hash52
-from millrace.operators.quantiles import Rank, order_stats
+from millrace.functions.columns import HASH_SPACE, col, hash52, small
+from millrace.operators.quantiles import Rank, group_quantiles, order_stats
 
 SEED = 42
 TOP_N = 100_000
@@ -55,18 +55,15 @@ def holdout(df: DataFrame, key: str, share: float = 0.2, seed: int = SEED) -> tu
 def stratified_flag(df: DataFrame, key: str, stratum: str, share: float = 0.2, seed: int = SEED) -> DataFrame:
     """Add ``is_test``: per stratum the ``ceil(share * n)`` smallest hashes.
 
-    The cut-off is an exact order statistic found by distributed selection, so a
-    stratum that holds most of the table is never sorted in one task.
+    The cut-offs are exact order statistics, found as a table that is joined
+    back: there may be any number of strata, and one may hold most of the table.
     """
-    hashed = df.withColumn("_h", hash52(key, seed))
-    rank = Rank(share, interpolated=False)
-    cuts = order_stats(hashed.select(col(stratum), "_h"), {"_h": [rank]}, by=[stratum])
-    cut = None
-    for (value,), per in cuts.items():
-        hit = col(stratum).eqNullSafe(F.lit(value))
-        test = F.col("_h") <= F.lit(int(per["_h"][rank].value))
-        cut = F.when(hit, test) if cut is None else cut.when(hit, test)
-    return hashed.withColumn("is_test", F.lit(False) if cut is None else F.coalesce(cut, F.lit(False))).drop("_h")
+    hashed = df.withColumn("_h", hash52(key, seed).cast("double"))
+    counts = hashed.groupBy(col(stratum).alias("_s"), "_h").agg(F.count(F.lit(1)).alias("copies"))
+    cuts = group_quantiles(counts, ["_s"], "_h", [Rank(share, interpolated=False)])
+    cuts = small(cuts.select("_s", F.col("q")[0].alias("_cut")))
+    joined = hashed.join(cuts, col(stratum).eqNullSafe(F.col("_s")), "left")
+    return joined.withColumn("is_test", F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False))).drop("_h", "_s", "_cut")
 
 
 def stratified_holdout(df: DataFrame, key: str, stratum: str, share: float = 0.2, seed: int = SEED):

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.columns import col
 from millrace.operators.clean import MAX_DISCRETE, distinct_at_most, fence_counts, listed_distinct, rough_distinct
@@ -15,15 +19,15 @@ from millrace.operators.quantiles import order_stats
 from millrace.roles import ROUTE_PREFIX, numeric_columns
 
 LISTED = 1_000
-PAIRS_PER_PASS = 40  # more sums in one aggregate exceed what the JVM compiles
+GRAM_SALTS = 32
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """``(column, distinct_values, distinct_with_null)`` per column.
 
-    Columns with few values are listed together in one pass. Each of the others
-    has a branch that reads and shuffles that column alone, rather than every
-    row once per column. ``exact=False`` returns the sketched counts.
+    Columns with few values are listed together in one pass. The others share
+    one pass too, whatever their number: their values go through one distinct of
+    (column, value). ``exact=False`` returns the sketched counts.
     """
     columns = list(columns or df.columns)
     rough = rough_distinct(df, columns)
@@ -31,18 +35,15 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, exact:
         known = listed_distinct(df, [c for c in columns if rough[c][0] <= LISTED])
     else:
         known = {c: n for c, (n, _) in rough.items()}
-
-    def null(c):
-        return 1 if rough[c][1] else 0
-
-    rows = [(c, n, n + null(c)) for c, n in known.items()]
-    out = df.sparkSession.createDataFrame(rows, "column string, distinct_values bigint, distinct_with_null bigint")
-    for c in columns:
-        if c not in known:
-            n = F.count_distinct(col(c))
-            out = out.unionByName(df.agg(n.alias("distinct_values")).select(
-                F.lit(c).alias("column"), "distinct_values", (F.col("distinct_values") + null(c)).alias("distinct_with_null")))
-    return out
+    many = [c for c in columns if c not in known]
+    if many:
+        real = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+        texts = [(col(c) + F.lit(0.0) if c in real else col(c)).cast("string") for c in many]  # no negative zero
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("at"), t.alias("value")) for i, t in enumerate(texts)])).alias("p")).select("p.*")
+        found = pairs.where(F.col("value").isNotNull()).distinct().groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+        known |= dict.fromkeys(many, 0) | {many[r["at"]]: r["n"] for r in found.collect()}
+    rows = [(c, known[c], known[c] + (1 if rough[c][1] else 0)) for c in columns]
+    return df.sparkSession.createDataFrame(rows, "column string, distinct_values bigint, distinct_with_null bigint")
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -88,10 +89,6 @@ class _Profile:
         """More than one value, NULL being a value of its own."""
         return 0 < self.values < self.rows or (self.values > 0 and self.low < self.high)
 
-    @property
-    def dense(self) -> bool:
-        return 0 < self.values == self.rows
-
     def __add__(self, other: _Profile) -> _Profile:
         ends = [x for x in (self.low, other.low) if x is not None], [x for x in (self.high, other.high) if x is not None]
         return _Profile(self.rows + other.rows, self.values + other.values, min(ends[0], default=None), max(ends[1], default=None),
@@ -109,35 +106,62 @@ def _profiles(df: DataFrame, names: Sequence[str], part: Column) -> dict[bool, d
     return out
 
 
-def _products(df: DataFrame, names: Sequence[str], centre: dict[str, float], dense: set[str], pairs, part: Column) -> dict[bool, list]:
-    """Per pair the moments ``(n, sa, sb, saa, sbb, sab)`` around the centre, by ``part``; they add up across parts.
-
-    Columns without gaps share their own sums, so that a pair costs one running sum.
+def _add_grams(batches: Iterator[pa.RecordBatch], centre: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A task's masked Gram matrices by part: for each pair of columns the moments over the rows that have both."""
+    p = len(centre)
+    held: dict[bool, np.ndarray] = {}
+    for batch in batches:
+        part = np.asarray(batch.column("part").to_pylist(), bool)
+        columns = [batch.column(f"x{i}") for i in range(p)]
+        here = np.stack([np.asarray(c.is_valid()) for c in columns], 1)
+        x = np.where(here, np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in columns], 1) - centre, 0.0)
+        for which in (True, False):
+            rows = part if which else ~part
+            if rows.any():
+                m, v = here[rows].astype(float), x[rows]
+                sums = np.stack([m.T @ m, v.T @ m, (v * v).T @ m, v.T @ v])
+                held[which] = held[which] + sums if which in held else sums
+    task = TaskContext.get().partitionId()
+    for which, sums in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([which]), pa.array([task], pa.int32()), pa.array([sums.tobytes()], pa.binary())], names=["part", "task", "sums"])
+
+
+def _merge_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the same part, which come one after the other, to one row, numbered by the first task."""
+
+    def row(part, task, sums):
+        return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([task], pa.int32()), pa.array([sums.tobytes()], pa.binary())], names=["part", "task", "sums"])
+
+    now, first, sums = None, 0, None
+    for batch in batches:
+        for part, task, data in zip(*[batch.column(n).to_pylist() for n in ("part", "task", "sums")], strict=True):
+            if part != now:
+                if now is not None:
+                    yield row(now, first, sums)
+                now, first, sums = part, task, np.zeros(len(data) // 8)
+            sums = sums + np.frombuffer(data)
+    if now is not None:
+        yield row(now, first, sums)
+
+
+def _products(df: DataFrame, names: Sequence[str], centre: dict[str, float], part: Column) -> dict[bool, np.ndarray]:
+    """Per part the sums (n, a, a squared, a b) over the rows that have both columns, around the centre; they add up across parts.
+
+    One pass whatever the number of columns: a task sends one set of matrices, and these are added in two levels.
     """
-    at = {c: i for i, c in enumerate(names)}
-    base = df.select(part.alias("part"), *[(col(c).cast("double") - F.lit(centre[c])).alias(f"d{i}") for c, i in at.items()])
-    out: dict[bool, list] = {}
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start:start + PAIRS_PER_PASS]
-        used = sorted({c for p in chunk if p[0] in dense and p[1] in dense for c in p})
-        aggs = [e for c in used for e in (f"sum(d{at[c]}) as s{at[c]}", f"sum(d{at[c]} * d{at[c]}) as q{at[c]}")]
-        for n, (a, b) in enumerate(chunk):
-            x, y = f"d{at[a]}", f"d{at[b]}"
-            if a in dense and b in dense:
-                aggs.append(f"sum({x} * {y}) as p{n}")
-            else:
-                both = f"{x} is not null and {y} is not null"
-                aggs += [f"count_if({both}) as n{n}", f"sum(if({both}, {x}, null)) as sa{n}", f"sum(if({both}, {y}, null)) as sb{n}",
-                         f"sum(if({both}, {x} * {x}, null)) as qa{n}", f"sum(if({both}, {y} * {y}, null)) as qb{n}", f"sum({x} * {y}) as p{n}"]
-        for row in base.groupBy("part").agg(F.count("*").alias("rows"), *[F.expr(e) for e in aggs]).collect():
-            got = out.setdefault(row["part"], [])
-            for n, (a, b) in enumerate(chunk):
-                if a in dense and b in dense:
-                    i, j = at[a], at[b]
-                    got.append((row["rows"], row[f"s{i}"], row[f"s{j}"], row[f"q{i}"], row[f"q{j}"], row[f"p{n}"]))
-                else:
-                    got.append(tuple(row[f"{k}{n}"] or 0.0 for k in ("n", "sa", "sb", "qa", "qb", "p")))
-    return out
+    p = len(names)
+    base = df.select(part.alias("part"), *[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)]).where(F.col("part").isNotNull())
+    kind = "part boolean, task int, sums binary"
+    middle = np.array([centre[c] for c in names])
+    tasks = base.mapInArrow(lambda batches: _add_grams(batches, middle), kind).withColumn("salt", F.col("task") % GRAM_SALTS)
+    level = tasks.repartition("part", "salt").sortWithinPartitions("part", "salt", "task").mapInArrow(_merge_grams, kind)
+    whole = level.repartition("part").sortWithinPartitions("part", "task").mapInArrow(_merge_grams, kind)
+    return {r["part"]: np.frombuffer(r["sums"]).reshape(4, p, p) for r in whole.collect()}
+
+
+def _moments(sums: np.ndarray, i: int, j: int) -> tuple[float, ...]:
+    n, one, two, both = sums
+    return float(n[i, j]), float(one[i, j]), float(one[j, i]), float(two[i, j]), float(two[j, i]), float(both[i, j])
 
 
 def _pearson(moments) -> float | None:
@@ -156,16 +180,15 @@ def correlation_candidates(df: DataFrame) -> list[str]:
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Upper triangle of the Pearson matrix as ``(feature_a, feature_b, corr)``, pairwise complete.
 
-    Without a list, all numeric columns that vary. Two passes: means, then sums
-    of centred products; a fixed number of sums per task is shuffled.
+    Without a list, all numeric columns that vary. Two passes, however many
+    columns: means, then the masked Gram matrices of the centred columns.
     """
     names = sorted(columns) if columns is not None else correlation_candidates(df)
     whole = _profiles(df, names, F.lit(True)).get(True, {}) if names else {}
     names = [c for c in names if c in whole and (columns is not None or whole[c].varies)]
-    pairs = list(combinations(names, 2))
     centre = {c: whole[c].total / max(whole[c].values, 1) for c in names}
-    moments = _products(df, names, centre, {c for c in names if whole[c].dense}, pairs, F.lit(True)).get(True, []) if pairs else []
-    rows = [(a, b, _pearson(m)) for (a, b), m in zip(pairs, moments)]
+    sums = _products(df, names, centre, F.lit(True)).get(True) if len(names) > 1 else None
+    rows = [(a, b, _pearson(_moments(sums, i, j))) for (i, a), (j, b) in combinations(enumerate(names), 2)]
     return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, corr double")
 
 
@@ -181,13 +204,11 @@ def correlation_shift(df: DataFrame, part: Column, k: int = 10) -> DataFrame:
         return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, full_corr double, outlier_corr double, abs_delta double")
     whole = {c: split[True][c] + split[False][c] if False in split else split[True][c] for c in names}
     names = [c for c in names if whole[c].varies and split[True][c].varies]
-    pairs = list(combinations(names, 2))
     centre = {c: whole[c].total / max(whole[c].values, 1) for c in names}
-    moments = _products(df, names, centre, {c for c in names if whole[c].dense}, pairs, part)
-    rest = moments.get(False) or [(0,) * 6] * len(pairs)
+    sums = _products(df, names, centre, part) if len(names) > 1 else {}
     rows = []
-    for (a, b), m, o in zip(pairs, moments[True], rest):
-        rows.append((a, b, _pearson([x + y for x, y in zip(m, o)]), _pearson(m)))
+    for (i, a), (j, b) in combinations(enumerate(names), 2):
+        rows.append((a, b, _pearson(_moments(sums[True] + sums.get(False, 0.0), i, j)), _pearson(_moments(sums[True], i, j))))
     table = df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, full_corr double, outlier_corr double")
     table = table.withColumn("abs_delta", F.abs(F.col("outlier_corr") - F.col("full_corr"))).where(F.col("abs_delta").isNotNull())
     return table.orderBy(F.desc("abs_delta"), "feature_a", "feature_b").limit(k)

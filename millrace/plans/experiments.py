@@ -22,6 +22,7 @@ from millrace.operators.models import BOOSTINGS, FORESTS, Boosting, Forest
 from millrace.operators.select import kept_features, select_features
 from millrace.roles import Roles, require_numeric
 from millrace.session import staged
+from millrace.sources.fitted import save_fitted
 from millrace.sources.tables import save_model, write_dataset
 
 WEIGHT = "sample_weight"
@@ -49,13 +50,13 @@ class Holdout:
         """Fit once per preset and feature list; equal fits of several experiments are shared."""
         key = (preset, tuple(names or self.features))
         if key not in self.fitted:
-            self.fitted[key] = models.fit_once(models.forest_regressor(preset, WEIGHT), self.vectors(self.train, names))
+            self.fitted[key] = models.fit_forest(preset, self.vectors(self.train, names), WEIGHT)
         return self.fitted[key]
 
     def boosting(self, preset: Boosting):
         key = (preset, self.features)
         if key not in self.fitted:
-            self.fitted[key] = models.fit_once(models.boosting_regressor(preset, WEIGHT), self.vectors(self.train))
+            self.fitted[key] = models.fit_boosting(preset, self.vectors(self.train), WEIGHT)
         return self.fitted[key]
 
     def scored(self, model, names: Sequence[str] | None = None) -> DataFrame:
@@ -96,7 +97,7 @@ def outlier_experiment(h: Holdout, preset: Forest = FORESTS["experiment"]) -> Ou
     """The same model with all training rows and without the doubtful ones, on the same untouched test rows."""
     keep = outliers.fit_robust_filter(h.train, h.roles)
     full = h.metrics(h.forest(preset))
-    cleaned = models.fit_once(models.forest_regressor(preset), h.vectors(keep.transform(h.train)))
+    cleaned = models.fit_forest(preset, h.vectors(keep.transform(h.train)))
     less = h.metrics(cleaned)
     table = metrics.comparison({"with_outliers": full, "without_outliers": less}, "experiment")
     delta = metrics.improvement(full, less).select(
@@ -183,6 +184,11 @@ class Tournament:
     after: DataFrame
     change: DataFrame
 
+    def save(self, path: str) -> None:
+        for name, table in (("before", self.before), ("after", self.after), ("change", self.change)):
+            write_dataset(table, f"{path}/algorithms_{name}", "csv")
+        save_fitted(self.before.sparkSession, self.clusters, f"{path}/clusters")
+
 
 def tournament(h: Holdout, forest: Forest = FORESTS["baseline"], boosting: Boosting = BOOSTINGS["comparison"], neighbours: int = 15,
                waves: int = 128, k: int = 5, restarts: int = 10, scale: bool = False, stage=staged) -> Tournament:
@@ -206,12 +212,28 @@ class Tuned:
     improvement: DataFrame
     cv: DataFrame
 
+    def save(self, path: str) -> None:
+        """The tables, the best combination as one row, and the tuned model."""
+        spark = self.comparison.sparkSession
+        best = spark.createDataFrame([(n, None if v is None else str(v)) for n, v in self.search.best.items()], "parameter string, value string")
+        for name, table in (("grid", self.search.table), ("best", best), ("baseline_vs_tuned", self.comparison), ("improvement", self.improvement), ("cross_validation", self.cv)):
+            write_dataset(table, f"{path}/{name}", "csv")
+        save_fitted(spark, self.search.model, f"{path}/model")
+
 
 def tune(h: Holdout, grid: Mapping[str, Sequence] = tuning.GRID, baseline: Forest = FORESTS["baseline"], folds: int = 3, cv_folds: int = 5,
          parallelism: int = 2) -> Tuned:
-    """Grid search against the baseline, each with its cross-validated error."""
+    """Grid search against the baseline, each with its cross-validated error; a deep forest shares its trees among the combinations."""
     key = h.roles.key
     searched = h.vectors(split.with_fold(h.train, key, folds))
+    if baseline.deep:
+        spec = baseline.spec(len(h.features))
+        search = tuning.shared_grid_search(searched, spec, grid, folds, weight=WEIGHT if baseline.weighted else None)
+        a, b = h.metrics(h.forest(baseline)), h.metrics(search.model)
+        best = search.model.grown.specs[0]
+        scored = tuning.shared_cv_scores(h.vectors(split.with_fold(h.train, key, cv_folds)), [spec, best], "rmse", cv_folds)
+        cv = h.train.sparkSession.createDataFrame([(n, *s) for n, s in zip(("baseline", "tuned"), scored)], "model string, cv_rmse_mean double, cv_rmse_std double")
+        return Tuned(search, metrics.comparison({"baseline": a, "tuned": b}), metrics.improvement(a, b), cv)
     learner = models.forest_regressor(baseline, WEIGHT)
     search = tuning.grid_search(searched, learner, grid, folds, parallelism=parallelism)
     a, b = h.metrics(h.forest(baseline)), h.metrics(search.model)
@@ -247,10 +269,13 @@ def regularised(h: Holdout, baseline: Forest = FORESTS["baseline"], strict: Fore
                 parallelism: int = 2) -> tuple[DataFrame, DataFrame]:
     """Stricter forest against the baseline, with the gap between cross-validated and test R2."""
     folded = h.vectors(split.with_fold(h.train, h.roles.key, folds))
-    rows, tables = [], {}
-    for name, preset in (("baseline", baseline), ("regularised", strict)):
-        tables[name] = h.metrics(h.forest(preset))
-        rows.append((name, tuning.cv_score(folded, models.forest_regressor(preset), "r2", folds, parallelism=parallelism)[0]))
+    both = {"baseline": baseline, "regularised": strict}
+    tables = {name: h.metrics(h.forest(preset)) for name, preset in both.items()}
+    if baseline.deep and strict.deep:
+        scores = tuning.shared_cv_scores(folded, [p.spec(len(h.features)) for p in both.values()], "r2", folds)
+        rows = [(name, mean) for name, (mean, _) in zip(both, scores)]
+    else:
+        rows = [(name, tuning.cv_score(folded, models.forest_regressor(p), "r2", folds, parallelism=parallelism)[0]) for name, p in both.items()]
     cv = h.train.sparkSession.createDataFrame(rows, "model string, cv_r2 double")
     table = metrics.comparison(tables).join(F.broadcast(cv), "model")  # one row per model
     return table.withColumn("cv_stability", F.abs(F.col("cv_r2") - F.col("r2"))), metrics.improvement(tables["baseline"], tables["regularised"])
@@ -280,13 +305,23 @@ class Optimised:
     log: DataFrame
     comparison: DataFrame
     explained: Explained
+    models: dict = field(default_factory=dict)
+
+    def save(self, path: str) -> None:
+        """The tables, and the voting and the regularised model."""
+        told = self.explained
+        tables = {"improvements": self.log, "voting": self.comparison, "importances": told.importances, "interactions": told.interactions, "confidence": told.confidence}
+        for name, table in (tables | {"disagreement": told.disagreement, "uncertain": told.uncertain}).items():
+            write_dataset(table, f"{path}/{name}", "csv")
+        for name, model in self.models.items():
+            save_fitted(self.log.sparkSession, model, f"{path}/{name}_model")
 
 
 def optimise(h: Holdout, baseline: Forest = FORESTS["baseline"], forest: Forest = FORESTS["voting"], boosting: Boosting = BOOSTINGS["voting"],
              strict: Forest = FORESTS["regularised"], folds: int = 5, parallelism: int = 2) -> Optimised:
     """Selection, voting and regularisation against one baseline fit, the log of gains, and the explanation."""
     _, _, gain_selected = feature_selection(h, baseline)
-    _, versus, gain_voting = voting(h, baseline, forest, boosting)
+    both, versus, gain_voting = voting(h, baseline, forest, boosting)
     _, gain_strict = regularised(h, baseline, strict, folds, parallelism)
     log = metrics.comparison({"feature selection": gain_selected, "voting": gain_voting, "regularisation": gain_strict}, "step")
-    return Optimised(log, versus, explained(h, baseline))
+    return Optimised(log, versus, explained(h, baseline), {"voting": both, "regularised": h.forest(strict)})
