@@ -37,6 +37,8 @@ from millrace.session import staged
 
 #: Most bins of a feature; cells (rows x features) of a node that one task grows; rows of a block; nodes split at once.
 BINS, TASK_CELLS, BLOCK_ROWS, NODES_AT_ONCE = 255, 4_000_000, 16_384, 2_000
+#: Figures worked on at once within a level.
+AT_ONCE = 65_536
 #: Sums by row that a task holds before it hands them on.
 HELD_SUMS = 500_000
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(20)])
@@ -159,9 +161,6 @@ def _split(columns, order, w, wy, size, paths, tw, ts, min_leaf, tried):
     m = order.shape[1]
     places = np.arange(m)
     at = places - start[node] + 1
-    cw, cs = np.cumsum(w[order], 1), np.cumsum(wy[order], 1)
-    for c, x in ((cw, w), (cs, wy)):
-        c -= (c[:, start] - x[order[:, start]])[:, node]
     here = np.take_along_axis(columns, order, 1)
     cut = np.zeros(order.shape, bool)
     cut[:, :-1] = here[:, 1:] != here[:, :-1]
@@ -169,9 +168,18 @@ def _split(columns, order, w, wy, size, paths, tw, ts, min_leaf, tried):
     if tried:
         cut &= _tried(paths, np.logical_or.reduceat(cut, start, axis=1), tried)[:, node]
     cut &= (at >= min_leaf) & (size[node] - at >= min_leaf)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        rest = ts[node] - cs
-        gain = np.where(cut, cs * cs / cw + rest * rest / (tw[node] - cw), -np.inf)
+    gain = np.empty(order.shape)
+    few = max(1, AT_ONCE // m)
+    all_w, all_s = tw[node], ts[node]
+    for lo in range(0, len(order), few):  # as many features at once as stay near the processor
+        some = slice(lo, lo + few)
+        rows = order[some]
+        cw, cs = np.cumsum(w[rows], 1), np.cumsum(wy[rows], 1)
+        for c, x in ((cw, w), (cs, wy)):
+            c -= np.repeat(c[:, start] - x[rows[:, start]], size, axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rest = all_s - cs
+            gain[some] = np.where(cut[some], cs * cs / cw + rest * rest / (all_w - cw), -np.inf)
     f, place, worth = _best(gain, start, node, ts * ts / tw)
     found = place < m
     f, place = f[found], place[found]
@@ -186,15 +194,18 @@ def _split(columns, order, w, wy, size, paths, tw, ts, min_leaf, tried):
     first = order[0]
     side = np.zeros(columns.shape[1], bool)
     side[first] = columns[f[node], first] <= b[node]
-    goes = side[order]
-    before = np.cumsum(goes, 1, dtype=np.int32)
-    lefts = np.add.reduceat(goes[0].astype(np.int32), start)
-    before -= goes
-    before -= before[:, start][:, node]
-    offset = np.arange(order.shape[1], dtype=np.int32) - start[node].astype(np.int32)
-    to = start[node] + np.where(goes, before, lefts[node] + offset - before)
+    lefts = np.add.reduceat(side[first].astype(np.int32), start)
+    begin = start[node].astype(np.int32)
+    offset = np.arange(order.shape[1], dtype=np.int32) - begin
+    right = lefts[node] + offset
     sorted_ = np.empty_like(order)
-    np.put_along_axis(sorted_, to, order, 1)
+    for lo in range(0, len(order), few):
+        rows = order[lo : lo + few]
+        goes = side[rows]
+        before = np.cumsum(goes, 1, dtype=np.int32)
+        before -= goes
+        before -= np.repeat(before[:, start], size, axis=1)
+        np.put_along_axis(sorted_[lo : lo + few], begin + np.where(goes, before, right - before), rows, 1)
     sizes = np.stack([lefts, size - lefts], 1).ravel()
     return found, f, b, worth[found], sorted_, sizes, np.stack([_child(paths, 0), _child(paths, 1)], 1).ravel()
 
@@ -694,6 +705,7 @@ class DeepForest:
         table = self._table(df)
         mean = F.col("total")[0] / F.lit(float(self.cell.trees))
         said = self.grown.sums(table, [self.cell]).select(F.col("row").alias("__row"), (mean > 0.5).cast("double").alias("__said") if self.classifier else mean.alias("__said"))
+        said = staged(said, "scored")  # the trees are read once, whatever is made of it
         joined = table.rows.join(said, "__row")
         return joined.select(*[F.col(f"`{c}`") for c in df.columns if c != self.prediction_column], F.col("__said").alias(self.prediction_column))
 
@@ -752,7 +764,7 @@ def cross_predictions(table: Binned, specs: Sequence[Spec], cells: Sequence[tupl
     """
     grown = grow_forests(table, [Spec(**(asdict(s) | {"without_fold": f})) for s in specs for f in range(folds)])
     asked = [Cell(s * folds + f, trees, depth) for f in range(folds) for s, trees, depth in cells]
-    sums = grown.sums(table, asked).withColumnRenamed("row", "__row")
+    sums = staged(grown.sums(table, asked), "scored").withColumnRenamed("row", "__row")
     mine = F.slice("total", F.col("__fold") * len(cells) + 1, F.lit(len(cells)))
     said = F.transform(mine, lambda x, i: x / F.element_at(F.array(*[F.lit(float(t)) for _, t, _ in cells]), (i + 1).cast("int")))
     return table.rows.join(sums, "__row").select(F.col("__fold").alias("fold"), F.col("__y").alias("label"), said.alias("predictions"))
