@@ -180,19 +180,26 @@ def decode_blocks(table: Table, blobs: list[bytes]) -> list[np.ndarray]:
 
 
 @cache
-def _tokenizer(path: str):
+def _library(path: str, ordinary: bool = False):
+    """The tokenizer of the file; ``ordinary``: the strings of its added tokens are text like any other."""
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are Spark's; threads of the library would only wait for each other
     made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True  # their strings in a text are ordinary text
+    made.encode_special_tokens = ordinary
     return made
 
 
+@cache
+def _added(path: str) -> tuple[str, ...]:
+    """The strings that the tokenizer takes out of a text before it cuts it into pre-tokens."""
+    return tuple(t.content for t in _library(path).get_added_tokens_decoder().values())
+
+
 @cache
 def _encoder(path: str, pre_tokens: str) -> SplitText:
     """The library encodes each distinct pre-token that a worker meets; it would cut a text at the same places itself."""
-    made = _tokenizer(path)
+    made = _library(path, ordinary=True)
 
     pattern, known = regex.compile(pre_tokens), {}
     mark = made.encode(MARK, add_special_tokens=False).ids
@@ -227,14 +234,22 @@ PACKED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("p
 
 
 def tokenized(df: DataFrame, path: str, pre_tokens: str, end_id: int, text: str = "text") -> DataFrame:
-    """``df`` with ``n_tokens`` and ``packed`` ids (unsigned 32-bit, zstd) of every whole text, with ``end_id`` after each."""
+    """``df`` with ``n_tokens`` and ``packed`` ids (unsigned 32-bit, zstd) of every whole text, with ``end_id`` after each.
+
+    The ids are those of the library's plain call: a text that holds the string of an added token goes to it whole. A null
+    text is empty and has the end id alone; an empty table stays empty.
+    """
     end = np.array([end_id], "<u4").tobytes()
 
     def make() -> Callable[[list], list]:
         encode, squeeze = _encoder(path, pre_tokens), zstandard.ZstdCompressor(level=1)
+        library, added = _library(path), _added(path)
 
         def work(texts):
-            rows = [b"".join([*x, end]) for x in encode(texts)]
+            whole = {i for i, t in enumerate(texts) if any(a in t for a in added)}
+            rows = [b"".join([*x, end]) for x in encode(["" if i in whole else t for i, t in enumerate(texts)] if whole else texts)]
+            for i in whole:
+                rows[i] = np.array(library.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes() + end
             return [(len(r) // 4, squeeze.compress(_planes(r))) for r in rows]
 
         return work
@@ -322,7 +337,7 @@ def write_ids(df: DataFrame, path: str, tokenizer_path: str, pre_tokens: str, en
     staged = f"{shared_dir(spark).rstrip('/')}/ids-{uuid.uuid4().hex}"
     tokenized(df.select(F.col(key).cast("long").alias(key), F.col(text).alias("text")), tokenizer_path, pre_tokens, end_id).drop("text").write.option("compression", "none").parquet(staged)
     tokens = spark.read.schema(T.StructType([T.StructField(key, T.LongType()), *PACKED])).parquet(staged)
-    freq = quantised(id_counts(tokens, max(_tokenizer(tokenizer_path).get_vocab_size(), end_id + 1)))
+    freq = quantised(id_counts(tokens, max(_library(tokenizer_path).get_vocab_size(), end_id + 1)))
     spark.createDataFrame(list(enumerate(freq.tolist())), "id int, freq int").coalesce(1).write.parquet(f"{path}/table")
     ordered = tokens.select(key, "packed").repartitionByRange(partitions(df), key).sortWithinPartitions(key)
     ordered.mapInArrow(_to_blocks(freq, key), BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")

@@ -28,7 +28,6 @@ def tiktoken_encoding(vocabulary):
 
 def ids_rows(docs, end_id=2):
     made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
     out, start = set(), 0
     for doc_id, text in sorted(docs):
         ids = np.array([*made.encode(text or "", add_special_tokens=False).ids, end_id], "<u4")
