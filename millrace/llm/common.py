@@ -6,13 +6,17 @@ import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows handled at once in a Python worker: bounds the Python objects alive, not the result.
 CHUNK_ROWS = 256
+#: Bytes of text that ``map_texts`` hands on at once, a longer text being handed on whole.
+CHUNK_BYTES = 4 << 20
 
 
 def partitions(df: DataFrame) -> int:
@@ -47,6 +51,30 @@ def add_columns(df: DataFrame, text: str, fields: T.StructType, make: Callable[[
     return df.select(*[F.col(f"`{n}`") for n in kept], F.col(text).cast("string").alias(hidden)).mapInArrow(run, schema)
 
 
+def map_texts(df: DataFrame, text: str, fields: T.StructType, make: Callable[[], Callable[[pa.Array], list]]) -> DataFrame:
+    """As ``add_columns``, but the function takes an Arrow array of whole texts (null is empty) and returns one sequence of values for each new column."""
+    new = {f.name for f in fields}
+    kept = [f.name for f in df.schema if f.name not in new]
+    schema = T.StructType([df.schema[n] for n in kept] + list(fields))
+    hidden = "__text_of_this_row"
+    arrow = [pa.field(f.name, _arrow(f.dataType)) for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            texts = pc.fill_null(batch.column(hidden), "")
+            ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_BYTES, side="right")))
+                columns = [batch.column(n).slice(at, to - at) for n in kept]
+                columns += [pa.array(x, type=f.type) for x, f in zip(work(texts.slice(at, to - at)), arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=kept + [f.name for f in arrow])
+                at = to
+
+    return df.select(*[F.col(f"`{n}`") for n in kept], F.col(text).cast("string").alias(hidden)).mapInArrow(run, schema)
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     simple = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_()}
     return simple[kind.simpleString()]
@@ -110,3 +138,115 @@ class SplitText:
             else:
                 out[-1] = f"{out[-1]} {p}"
         return out
+
+
+#: A cut that is one word, and marks that end it: letters of Unicode's Latin blocks, which no later version will take back.
+_PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
+
+
+def pre_tokens(cut: str, pattern: re.Pattern) -> list[str]:
+    """The matches of the byte-level pre-token pattern in a cut; plain words are told without it."""
+    plain = _PLAIN.fullmatch(cut)
+    if plain is None:
+        return pattern.findall(cut)
+    word, marks = plain.groups()
+    return [word, marks] if marks else [word]
+
+
+class NumberedCuts:
+    """Texts as sequences of numbers of their cuts (see ``SplitText``), without a Python object for each cut.
+
+    Arrow cuts the texts and finds the distinct cuts of a call. Those that were
+    not met before are numbered on and given to ``learn``. A full memory starts
+    anew before the next call, with ``forget``.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], None], forget: Callable[[], None], size: int = 350_000) -> None:
+        self.learn, self.forget, self.size = learn, forget, size
+        self.first: dict[str, int] = {}
+        self.later: dict[str, int] = {}
+        self.n = 0
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where each text's cuts begin (one entry more than texts; each text has a cut), and the numbers of all cuts. No text is null."""
+        if self.n >= self.size:
+            self.first, self.later, self.n = {}, {}, 0
+            self.forget()
+        if not len(texts):
+            return np.zeros(1, np.int64), np.zeros(0, np.int64)
+        parts = pc.split_pattern(texts, " ")
+        flat, starts = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
+        starts -= starts[0]
+        later = np.ones(len(flat), bool)
+        later[starts[:-1]] = False
+        found = flat.filter(pa.array(later)).dictionary_encode()
+        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        joined = np.zeros(len(flat), bool)  # no cut can be made before these: they belong to the part before
+        joined[later] = np.array([not w or w[0].isspace() for w in words], bool)[found.indices.to_numpy()]
+        numbers = np.empty(len(flat), np.int64)
+        numbers[later] = self._numbers(self.later, words, " ")[found.indices.to_numpy()]
+        firsts = flat.take(pa.array(starts[:-1])).to_pylist()
+        numbers[starts[:-1]] = self._numbers(self.first, firsts, "")
+        if joined.any():
+            whole = self._whole(flat, joined)
+            for known, before, at in ((self.first, "", [b for b in whole if not later[b]]), (self.later, " ", [b for b in whole if later[b]])):
+                numbers[at] = self._numbers(known, [whole[b] for b in at], before)
+            starts = np.concatenate([[0], np.cumsum(~joined)])[starts]
+            numbers = numbers[~joined]
+        return starts, numbers
+
+    @staticmethod
+    def _whole(flat: pa.Array, joined: np.ndarray) -> dict[int, str]:
+        """By its place, each part that others are joined to, with those."""
+        at = np.flatnonzero(joined)
+        breaks = np.flatnonzero(np.diff(at) > 1)
+        begin, end = at[np.concatenate([[0], breaks + 1])] - 1, at[np.concatenate([breaks, [len(at) - 1]])] + 1
+        return {b: " ".join(flat.slice(b, e - b).to_pylist()) for b, e in zip(begin.tolist(), end.tolist(), strict=True)}
+
+    def _numbers(self, known: dict[str, int], cuts: list[str], before: str) -> np.ndarray:
+        new = [c for c in dict.fromkeys(cuts) if c not in known]
+        if new:
+            known.update(zip(new, range(self.n, self.n + len(new)), strict=True))
+            self.n += len(new)
+            self.learn([before + c for c in new])
+        return np.fromiter(map(known.__getitem__, cuts), np.int64, len(cuts))
+
+
+class CutIds:
+    """Token ids of whole texts from those of their distinct pre-tokens.
+
+    ``encode`` gives the ids of pre-tokens that are not remembered, as packed unsigned 32-bit integers.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], pattern: re.Pattern, size: int = 350_000) -> None:
+        self.encode, self.pattern, self.size = encode, pattern, size
+        self.known: dict[str, bytes] = {}
+        self.cuts = NumberedCuts(self._learn, self._forget, size)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.new_ids: list[bytes] = []
+        if len(self.known) > self.size:
+            self.known.clear()
+
+    def _learn(self, cuts: list[str]) -> None:
+        pieces = [pre_tokens(c, self.pattern) for c in cuts]
+        new = [p for p in set(chain.from_iterable(pieces)) if p not in self.known]
+        self.known.update(zip(new, self.encode(new), strict=True))
+        known = self.known
+        self.new_ids += [known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own]) for own in pieces]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where each text's ids begin (one entry more than texts), and all ids."""
+        starts, numbers = self.cuts(texts)
+        if self.new_ids:
+            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, self.new_ids), np.int64, len(self.new_ids)) // 4])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(self.new_ids), "<u4")])
+            self.new_ids = []
+        sizes = self.sizes[numbers]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        begin = np.cumsum(self.sizes) - self.sizes
+        at = np.arange(ends[-1])
+        at += np.repeat(begin[numbers] - ends[:-1], sizes)
+        return ends[starts], self.ids[at]
