@@ -32,10 +32,11 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
-from itertools import chain
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
@@ -43,16 +44,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import CHUNK_ROWS, SplitText, add_columns, one_word, partitions
+from millrace.llm.common import CHUNK_ROWS, CutIds, map_texts, partitions
 from millrace.session import shared_dir
 
 PRECISION, LANES, SEGMENT = 18, 256, 256
 #: A block is closed once it holds so many ids. Blocks coded side by side in one task.
 BLOCK_IDS, TOGETHER = 1 << 18, 8
-#: Pre-tokens whose ids a worker remembers.
-REMEMBERED = 300_000
-#: New pre-tokens handed to the library in one text, and what is put between them.
-AT_ONCE, MARK = 1000, "\n"
 _HEAD, _LOW = struct.Struct("<4sBBHIIII"), np.uint64(1 << 31)
 
 
@@ -180,14 +177,11 @@ def decode_blocks(table: Table, blobs: list[bytes]) -> list[np.ndarray]:
 
 
 @cache
-def _library(path: str, ordinary: bool = False):
-    """The tokenizer of the file; ``ordinary``: the strings of its added tokens are text like any other."""
+def _library(path: str):
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are Spark's; threads of the library would only wait for each other
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = ordinary
-    return made
+    return Tokenizer.from_file(path)
 
 
 @cache
@@ -197,37 +191,22 @@ def _added(path: str) -> tuple[str, ...]:
 
 
 @cache
-def _encoder(path: str, pre_tokens: str) -> SplitText:
-    """The library encodes each distinct pre-token that a worker meets; it would cut a text at the same places itself."""
-    made = _library(path, ordinary=True)
-
-    pattern, known = regex.compile(pre_tokens), {}
-    mark = made.encode(MARK, add_special_tokens=False).ids
-
-    def learn(new: list[str]) -> None:
-        """Printable pre-tokens go to the library in one text, a line end between them, which no pre-token goes over; others one by one."""
-        solid = [p for p in new if p.isprintable() and p[-1] != " "] if len(mark) == 1 else []
-        for at in range(0, len(solid), AT_ONCE):
-            some = solid[at : at + AT_ONCE]
-            ids = np.array(made.encode_batch_fast([MARK.join(some)], add_special_tokens=False)[0].ids, "<u4")
-            packed, ends = ids.tobytes(), np.flatnonzero(ids == mark[0]).tolist()
-            for p, a, b in zip(some, [0, *[e + 1 for e in ends]], [*ends, len(ids)], strict=True):
-                known[p] = packed[4 * a : 4 * b]
-        for p in set(new).difference(solid):
-            known[p] = np.array(made.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def work(cuts: list[str]) -> list[bytes]:
-        pieces = [[c] if one_word(c) else pattern.findall(c) for c in cuts]
-        wanted = set(chain.from_iterable(pieces))
-        new = [p for p in wanted if p not in known]
-        if len(known) + len(new) > REMEMBERED:
-            held = {p: known[p] for p in wanted if p in known}
-            known.clear()
-            known.update(held)
-        learn(new)
-        return [known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own)) for own in pieces]
-
-    return SplitText(work)
+def _encoder(path: str, pre_tokens: str) -> CutIds:
+    """The library's model encodes each distinct pre-token that a worker meets; the library would cut a text at the same places itself."""
+    model, byte = _library(path).model, _byte_characters()
+
+    def encode(new: list[str]) -> list[bytes]:
+        return [pack(f"<{len(t)}I", *[x.id for x in t]) for t in map(model.tokenize, [p.encode().decode("latin-1").translate(byte) for p in new])]
+
+    pack = struct.pack
+    return CutIds(encode, regex.compile(pre_tokens))
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is printed, the others count on from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 PACKED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("packed", T.BinaryType())])
@@ -241,20 +220,24 @@ def tokenized(df: DataFrame, path: str, pre_tokens: str, end_id: int, text: str
     """
     end = np.array([end_id], "<u4").tobytes()
 
-    def make() -> Callable[[list], list]:
+    def make() -> Callable[[pa.Array], list]:
         encode, squeeze = _encoder(path, pre_tokens), zstandard.ZstdCompressor(level=1)
         library, added = _library(path), _added(path)
 
-        def work(texts):
-            whole = {i for i, t in enumerate(texts) if any(a in t for a in added)}
-            rows = [b"".join([*x, end]) for x in encode(["" if i in whole else t for i, t in enumerate(texts)] if whole else texts)]
-            for i in whole:
-                rows[i] = np.array(library.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes() + end
-            return [(len(r) // 4, squeeze.compress(_planes(r))) for r in rows]
+        def work(texts: pa.Array) -> list:
+            whole = np.zeros(len(texts), bool)
+            for a in added:
+                whole |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+            own = {i: texts[i].as_py() for i in np.flatnonzero(whole).tolist()}
+            starts, ids = encode(pc.if_else(pa.array(whole), "", texts) if own else texts)
+            rows = [ids[a:b].tobytes() + end for a, b in pairwise(starts.tolist())]
+            for i, t in own.items():
+                rows[i] = np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() + end
+            return [[len(r) // 4 for r in rows], [squeeze.compress(_planes(r)) for r in rows]]
 
         return work
 
-    return add_columns(df, text, PACKED, make)
+    return map_texts(df, text, PACKED, make)
 
 
 def _planes(packed: bytes) -> bytes:
