@@ -97,7 +97,7 @@ def _decided(df: DataFrame, key: str, text: str, carry: bool) -> DataFrame:
     sorted_rows = source.repartitionByRange(partitions(df), *order, "__key").sortWithinPartitions(*order, F.col("__n_chars").desc(), F.col("__key").asc_nulls_last())
     fields = [T.StructField("__key", T.LongType()), T.StructField("keep_id", T.LongType()), T.StructField("group_size", T.LongType()), T.StructField("kept", T.BooleanType())]
     fields += [T.StructField("text_sha256", T.StringType()), T.StructField("__part", T.IntegerType()), T.StructField("__run", T.LongType()), T.StructField("__chars", T.LongType()), T.StructField("__edge", T.StringType())]
-    fields += [source.schema[n] for n in carried]
+    fields += [T.StructField(n, source.schema[n].dataType) for n in carried]  # null in the rows that go, whatever the input says
     schema = T.StructType(fields)
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -18,12 +18,14 @@ import base64
 import hashlib
 import struct
 from functools import cache
+from itertools import pairwise
 
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from millrace.llm.common import SplitText, add_columns, one_word
+from millrace.llm.common import CutIds, map_texts
 
 _NEVER = 1 << 62
 
@@ -135,29 +137,31 @@ class Codec:
 
     def __init__(self, vocabulary: Ranks, pattern: str, size: int = 400_000) -> None:
         self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
-        self.split = SplitText(self._cuts)
+        self.of_texts = CutIds(lambda new: [self._encoded(p) for p in new], self.pattern, size)
         self.known: dict[str, bytes] = {}
         self.size = size
         self.table = vocabulary.bytes_of
 
-    def _cuts(self, cuts: list[str]) -> list[bytes]:
-        return [self._piece(c) if one_word(c) else b"".join(map(self._piece, self.pattern.findall(c))) for c in cuts]
+    def _encoded(self, piece: str) -> bytes:
+        ids = PrefixTable(self.vocabulary, piece.encode("utf-8")).tokens()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
         found = self.known.get(piece)
         if found is None:
             if len(self.known) >= self.size:
                 self.known.clear()
-            ids = PrefixTable(self.vocabulary, piece.encode("utf-8")).tokens()
-            found = self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            found = self.known[piece] = self._encoded(piece)
         return found
 
-    def encode_packed(self, texts: list[str]) -> list[bytes]:
+    def encode_packed(self, texts: pa.Array) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers."""
-        return [b"".join(x) for x in self.split(texts)]
+        starts, ids = self.of_texts(texts)
+        packed, ends = ids.astype("<u4", copy=False).tobytes(), (4 * starts).tolist()
+        return [packed[a:b] for a, b in pairwise(ends)]
 
     def encode(self, text: str) -> list[int]:
-        return list(memoryview(self.encode_packed([text])[0]).cast("I"))
+        return list(memoryview(self.encode_packed(pa.array([text], pa.string()))[0]).cast("I"))
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.table.__getitem__, memoryview(packed).cast("I").tolist()))
@@ -220,9 +224,14 @@ def encode_column(df: DataFrame, ranks_path: str, pattern: str, text: str = "tex
 
     def make():
         codec = _codec(ranks_path, pattern)
-        return lambda texts: [(x, len(x) // 4) for x in codec.encode_packed(texts)]
 
-    return add_columns(df, text, IDS, make)
+        def work(texts):
+            packed = codec.encode_packed(texts)
+            return [packed, [len(x) // 4 for x in packed]]
+
+        return work
+
+    return map_texts(df, text, IDS, make)
 
 
 def encode_and_check(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -232,8 +241,9 @@ def encode_and_check(df: DataFrame, ranks_path: str, pattern: str, text: str = "
         codec = _codec(ranks_path, pattern)
 
         def work(texts):
-            return [(len(x) // 4, hashlib.sha256(x).hexdigest(), hashlib.sha256(codec.decode(x)).hexdigest()) for x in codec.encode_packed(texts)]
+            packed = codec.encode_packed(texts)
+            return [[len(x) // 4 for x in packed], [hashlib.sha256(x).hexdigest() for x in packed], [hashlib.sha256(codec.decode(x)).hexdigest() for x in packed]]
 
         return work
 
-    return add_columns(df, text, DIGESTS, make)
+    return map_texts(df, text, DIGESTS, make)

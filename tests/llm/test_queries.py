@@ -66,3 +66,11 @@ def test_pipeline_odd_rows(spark, sf_dir, odd, empty):
                 assert now.filter(F.col("doc_id").isNull()).count() == 1
             now = stage(spark, now, sf_dir).cache()
             assert now.count() <= 3 * max(1, start.count())
+
+
+def test_pipeline_leaves_clashing_columns_alone(spark, sf_dir, odd):
+    start = odd.withColumn("place", F.concat(F.lit("p"), "doc_id")).withColumn("__scored", F.lit("x"))
+    there = set(rows(start))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, start, sf_dir)
+        assert out.dtypes == start.dtypes and set(rows(out)) <= there, name
