@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -144,13 +144,10 @@ class SplitText:
 _PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
 
 
-def pre_tokens(cut: str, pattern: re.Pattern) -> list[str]:
-    """The matches of the byte-level pre-token pattern in a cut; plain words are told without it."""
-    plain = _PLAIN.fullmatch(cut)
-    if plain is None:
-        return pattern.findall(cut)
-    word, marks = plain.groups()
-    return [word, marks] if marks else [word]
+def pre_tokens(cuts: list[str], pattern: re.Pattern) -> list[Sequence[str]]:
+    """The matches of the byte-level pre-token pattern in each cut; plain words are told without it, and come with the marks after them or with an empty one."""
+    plain, every = _PLAIN.fullmatch, pattern.findall
+    return [found.groups() if (found := plain(c)) else every(c) for c in cuts]
 
 
 class NumberedCuts:
@@ -231,11 +228,10 @@ class CutIds:
             self.known.clear()
 
     def _learn(self, cuts: list[str]) -> None:
-        pieces = [pre_tokens(c, self.pattern) for c in cuts]
-        new = [p for p in set(chain.from_iterable(pieces)) if p not in self.known]
-        self.known.update(zip(new, self.encode(new), strict=True))
-        known = self.known
-        self.new_ids += [known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own]) for own in pieces]
+        known, pieces = self.known, pre_tokens(cuts, self.pattern)
+        new = list(set(chain.from_iterable(pieces)).difference(known))
+        known.update(zip(new, self.encode(new), strict=True))
+        self.new_ids += [b"".join([known[p] for p in own]) for own in pieces]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Where each text's ids begin (one entry more than texts), and all ids."""

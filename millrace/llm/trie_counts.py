@@ -200,11 +200,10 @@ class Counter:
 
     def _learn(self, cuts: list[str]) -> None:
         """A pre-token whose terminal count was met before does not go into the trie again."""
-        pieces = [pre_tokens(c, self.pattern) for c in cuts]
-        known = self.terminals
-        new = [p for p in set(chain.from_iterable(pieces)) if p not in known]
+        known, pieces = self.terminals, pre_tokens(cuts, self.pattern)
+        new = list(set(chain.from_iterable(pieces)).difference(known))
         known.update(zip(new, self.trie.counts([p.encode() for p in new]), strict=True))
-        self.learned.append(np.array([(len(own), sum([known[p] for p in own])) for own in pieces], np.int64))
+        self.learned.append(np.array([(len(own) - own.count(""), sum([known[p] for p in own])) for own in pieces], np.int64).reshape(-1, 2))
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         starts, numbers = self.cuts(texts)
