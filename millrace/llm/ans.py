@@ -50,6 +50,8 @@ from millrace.session import shared_dir
 PRECISION, LANES, SEGMENT = 18, 256, 256
 #: A block is closed once it holds so many ids. Blocks coded side by side in one task.
 BLOCK_IDS, TOGETHER = 1 << 18, 8
+#: Cuts, and pre-tokens, whose ids a worker remembers.
+REMEMBERED = 500_000
 _HEAD, _LOW = struct.Struct("<4sBBHIIII"), np.uint64(1 << 31)
 
 
@@ -196,10 +198,15 @@ def _encoder(path: str, pre_tokens: str) -> CutIds:
     model, byte = _library(path).model, _byte_characters()
 
     def encode(new: list[str]) -> list[bytes]:
-        return [pack(f"<{len(t)}I", *[x.id for x in t]) for t in map(model.tokenize, [p.encode().decode("latin-1").translate(byte) for p in new])]
+        joined = "\n".join(new)
+        if joined.count("\n") == len(new) - 1:  # none holds a line end: one translation for all
+            shown = joined.encode().decode("latin-1").translate(byte).split(byte[10])
+        else:
+            shown = [p.encode().decode("latin-1").translate(byte) for p in new]
+        return [pack(f"<{len(t)}I", *[x.id for x in t]) for t in map(model.tokenize, shown)]
 
     pack = struct.pack
-    return CutIds(encode, regex.compile(pre_tokens))
+    return CutIds(encode, regex.compile(pre_tokens), REMEMBERED)
 
 
 def _byte_characters() -> dict[int, str]:
