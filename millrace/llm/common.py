@@ -80,66 +80,6 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return simple[kind.simpleString()]
 
 
-#: A space before which no cut can be made. Wider than any library's white space, which only makes fewer cuts.
-_INNER_SPACE = re.compile(r" (?=[\s\x1c-\x1f]|\Z)")
-
-
-def one_word(cut: str) -> bool:
-    """Whether a cut is plainly one pre-token: ASCII letters, with or without a space before them."""
-    return cut.isascii() and (cut[1:] if cut[:1] == " " else cut).isalpha()
-
-
-class SplitText:
-    """Applies a function of pre-token sequences to a text, word by word.
-
-    No match of the byte-level pre-token pattern goes over a space that is
-    followed by something that is not white space. So a text is cut there and
-    each cut is worked out once and remembered. A cut that does not begin so
-    (several spaces, a space before a line end) stays joined to the one before.
-    """
-
-    def __init__(self, work: Callable[[list[str]], list], size: int = 350_000) -> None:
-        self.work, self.size = work, size
-        self.first: dict[str, object] = {}
-        self.later: dict[str, object] = {}
-        self.before: dict[str, object] = {}
-
-    def __call__(self, texts: list[str]) -> list[list]:
-        """Per text the results of its cuts, in order."""
-        cut = [self._cut(t) for t in texts]
-        self.first = self._known(self.first, {parts[0] for parts in cut}, "")
-        self.later = self._known(self.later, set(chain.from_iterable(parts[1:] for parts in cut)), " ")
-        first, later = self.first, self.later.__getitem__
-        return [[first[parts[0]], *map(later, parts[1:])] for parts in cut]
-
-    def _known(self, known: dict[str, object], wanted: set[str], before: str) -> dict[str, object]:
-        """``known`` with the results of the wanted cuts; a full memory starts anew with what is wanted now, and the one before it is asked as well."""
-        missing = [p for p in wanted if p not in known]
-        if missing:
-            if len(known) + len(missing) > self.size:
-                if before:
-                    self.before = known
-                known = {p: known[p] for p in wanted if p in known}
-            if before and self.before:
-                known.update((p, self.before[p]) for p in missing if p in self.before)
-                missing = [p for p in missing if p not in known]
-            known.update(zip(missing, self.work([before + p for p in missing]), strict=True))
-        return known
-
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        parts = text.split(" ")
-        if _INNER_SPACE.search(text) is None:
-            return parts
-        out = [parts[0]]
-        for p in parts[1:]:
-            if p and not p[0].isspace():
-                out.append(p)
-            else:
-                out[-1] = f"{out[-1]} {p}"
-        return out
-
-
 #: A cut that is one word, and marks that end it: letters of Unicode's Latin blocks, which no later version will take back.
 _PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
 
@@ -151,8 +91,12 @@ def pre_tokens(cuts: list[str], pattern: re.Pattern) -> list[Sequence[str]]:
 
 
 class NumberedCuts:
-    """Texts as sequences of numbers of their cuts (see ``SplitText``), without a Python object for each cut.
+    """Texts as sequences of numbers of their cuts, without a Python object for each cut.
 
+    No match of the byte-level pre-token pattern goes over a space that is
+    followed by something that is not white space, so a text is cut there. A
+    part that does not begin so (several spaces, a space before a line end)
+    stays joined to the one before.
     Arrow cuts the texts and finds the distinct cuts of a call. Those that were
     not met before are numbered on and given to ``learn``. A full memory starts
     anew before the next call, with ``forget``.
