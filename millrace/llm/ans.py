@@ -29,10 +29,10 @@ import os
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cache
-from itertools import pairwise
+from itertools import chain, compress, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +44,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import CHUNK_ROWS, CutIds, map_texts, partitions
+from millrace.llm.common import CHUNK_ROWS, distinct_cuts, map_texts, partitions, spans
 from millrace.session import shared_dir
 
 PRECISION, LANES, SEGMENT = 18, 256, 256
 #: A block is closed once it holds so many ids. Blocks coded side by side in one task.
 BLOCK_IDS, TOGETHER = 1 << 18, 8
-#: Cuts, and pre-tokens, whose ids a worker remembers.
-REMEMBERED = 500_000
+#: Pre-tokens whose ids a worker remembers, those that go to the library's model at once, and bytes of text cut together.
+REMEMBERED, TO_MODEL, CHUNK = 1_000_000, 4096, 8 << 20
 _HEAD, _LOW = struct.Struct("<4sBBHIIII"), np.uint64(1 << 31)
 
 
@@ -86,7 +86,7 @@ def encode_blocks(table: Table, blocks: list[np.ndarray]) -> list[bytes]:
     """Each block of ids as a blob. All blocks are coded side by side, from the last step to the first."""
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     steps = [-(-len(blocks[i]) // LANES) for i in order]
-    most, shift = max(steps, default=0), np.uint64(63 - PRECISION)
+    most, shift, whole = max(steps, default=0), np.uint64(63 - PRECISION), np.uint64(1 << PRECISION)
     ids = np.full((most, len(order), LANES), int(np.argmax(table.freq)), np.uint32)
     for b, i in enumerate(order):
         flat = ids[: steps[b], b].reshape(-1)
@@ -98,14 +98,14 @@ def encode_blocks(table: Table, blocks: list[np.ndarray]) -> list[bytes]:
     left = np.array(steps)
     for t in range(most - 1, -1, -1):
         n = int((left > t).sum())
-        x, symbol = state[:n], ids[t, :n]
-        f = table.freq[symbol]
+        x, symbol = state[:n], ids[t, :n].astype(np.intp)
+        f = table.freq.take(symbol)
         full = x >= (f << shift)
-        words[t, :n] = np.where(full, x, 0).astype(np.uint32)
+        words[t, :n] = x  # the lower half; the upper one stays
         taken[t, :n] = full
         x = np.where(full, x >> np.uint64(32), x)
-        q = x // f
-        state[:n] = (q << np.uint64(PRECISION)) + (x - q * f) + table.start[symbol]
+        x += x // f * (whole - f)
+        state[:n] = x + table.start.take(symbol)
         if t % SEGMENT == 0:
             saved[t] = state[:n].copy()
     out: list[bytes] = [b""] * len(order)
@@ -156,9 +156,10 @@ def decode_blocks(table: Table, blobs: list[bytes]) -> list[np.ndarray]:
         n = int((steps > t).sum())
         x = state[:n]
         slot = x & mask
-        symbol = table.slots[slot]
+        symbol = table.slots.take(slot.astype(np.intp))
         ids[t, :n] = symbol
-        x = table.freq[symbol] * (x >> np.uint64(PRECISION)) + slot - table.start[symbol]
+        symbol = symbol.astype(np.intp)
+        x = table.freq.take(symbol) * (x >> np.uint64(PRECISION)) + slot - table.start.take(symbol)
         low = x < _LOW
         rank = np.cumsum(low, axis=1)
         if rank[:, -1].any():
@@ -192,21 +193,94 @@ def _added(path: str) -> tuple[str, ...]:
     return tuple(t.content for t in _library(path).get_added_tokens_decoder().values())
 
 
-@cache
-def _encoder(path: str, pre_tokens: str) -> CutIds:
-    """The library's model encodes each distinct pre-token that a worker meets; the library would cut a text at the same places itself."""
-    model, byte = _library(path).model, _byte_characters()
+#: A cut that is a word, marks, and perhaps another line with a word and marks, in ASCII: its pre-tokens, told without their pattern.
+_PLAIN_CUT = r"^(?P<a>[A-Za-z]+)(?P<b>[!-/:-@\[-`{-~]*)(?:(?P<c>\n)(?P<d>[A-Za-z]+)(?P<e>[!-/:-@\[-`{-~]*))?$"
+
+
+class TextIds:
+    """Token ids of whole texts, with the library's model; the library would cut a text at the same places itself.
+
+    The distinct cuts of a call become pre-tokens together, and those that are
+    not remembered go to the model together. A memory of more than ``size``
+    pre-tokens is left with those of the present call.
+    """
 
-    def encode(new: list[str]) -> list[bytes]:
-        joined = "\n".join(new)
-        if joined.count("\n") == len(new) - 1:  # none holds a line end: one translation for all
-            shown = joined.encode().decode("latin-1").translate(byte).split(byte[10])
-        else:
-            shown = [p.encode().decode("latin-1").translate(byte) for p in new]
-        return [pack(f"<{len(t)}I", *[x.id for x in t]) for t in map(model.tokenize, shown)]
+    def __init__(self, library, pattern: regex.Pattern, size: int) -> None:
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
+
+        self.pattern, self.size = pattern, size
+        self.byte = _byte_characters() | {255: " "}  # UTF-8 has no byte 255, and no other is shown as a space
+        self.plain = Tokenizer(library.model)  # without added tokens
+        self.plain.pre_tokenizer = CharDelimiterSplit(" ")
+        vocabulary = library.get_vocab(with_added_tokens=False)
+        self.length = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.length[list(vocabulary.values())] = list(map(len, vocabulary))
+        self.known = {"": 0}
+        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _encode(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some pre-tokens, and how many each has."""
+        shown = _joined(new.cast(pa.binary()), b"\xff").decode("latin-1").translate(self.byte)
+        ids = np.array(self.plain.encode_batch_fast([shown], add_special_tokens=False)[0].ids, np.uint32)
+        ends, upto = np.cumsum(pc.binary_length(new).to_numpy(), dtype=np.int64), np.cumsum(self.length[ids])
+        last = np.searchsorted(upto, ends)
+        if len(upto) and upto[-1] == ends[-1] and (upto[last] == ends).all():
+            return ids, np.diff(last + 1, prepend=0)
+        found = [[t.id for t in self.plain.model.tokenize(p)] for p in shown.split(" ")]  # the vocabulary lacks a byte
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where the memory holds these distinct pre-tokens; new ones are learned."""
+        names = pieces.to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            unknown = pieces.take(pa.array(new))
+            ids, sizes = zip(*[self._encode(unknown.slice(k, TO_MODEL)) for k in range(0, len(new), TO_MODEL)], strict=True)
+            at[new] = np.arange(len(self.sizes), len(self.sizes) + len(new))
+            self.known.update(zip([names[i] for i in new.tolist()], at[new].tolist(), strict=True))
+            self.ids, self.sizes = np.concatenate([self.ids, *ids]), np.concatenate([self.sizes, *sizes])
+        return at
+
+    def _shrink(self, at: np.ndarray) -> None:
+        """Keep the pre-tokens at these places, and the empty one."""
+        kept = np.zeros(len(self.sizes), bool)
+        kept[at] = kept[0] = True
+        self.ids, self.sizes = self.ids[np.repeat(kept, self.sizes)], self.sizes[kept]
+        self.known = dict(zip(compress(self.known, kept.tolist()), range(len(self.sizes)), strict=True))
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where each text's ids begin (one entry more than texts), and all ids."""
+        starts, numbers, words, begins = distinct_cuts(texts)
+        told = pc.extract_regex(words, _PLAIN_CUT)
+        plain = told.is_valid().to_numpy(zero_copy_only=False)
+        n, word, *others = int(plain.sum()), *told.filter(pa.array(plain)).flatten()
+        rest = words.filter(pa.array(~plain))
+        pieces = self.pattern.findall(" " + _joined(rest, " ")) if len(rest) else []
+        firsts = [self.pattern.findall(b) for b in begins]
+        every = pa.concat_arrays([pc.binary_join_element_wise(" ", word, ""), *others, pa.array(chain(pieces, *firsts), words.type)]).dictionary_encode()
+        places, width = every.indices.to_numpy(), pc.binary_length(every.dictionary).to_numpy()
+        learned = self._places(every.dictionary)
+        at = np.concatenate([learned[places[: 5 * n]].reshape(5, n).T.ravel(), learned[places[5 * n :]]])
+        last = np.searchsorted(np.cumsum(width[places[5 * n : 5 * n + len(pieces)]], dtype=np.int64), np.cumsum(pc.binary_length(rest).to_numpy() + 1, dtype=np.int64)) + 1
+        cuts = np.concatenate([5 * np.arange(n + 1), 5 * n + last, 5 * n + len(pieces) + np.cumsum([len(f) for f in firsts], dtype=np.int64)])
+        ends, own = spans((np.cumsum(self.sizes) - self.sizes)[at], self.sizes[at])
+        ids, begin = self.ids[own], ends[cuts]
+        order = np.concatenate([np.where(plain, np.cumsum(plain), n + np.cumsum(~plain)) - 1, np.arange(len(words), len(cuts) - 1)])
+        if len(self.known) > self.size:
+            self._shrink(learned)
+        ends, own = spans(begin[order][numbers], np.diff(begin)[order][numbers])
+        return ends[starts], ids[own]
+
+
+def _joined(values: pa.Array, between: str | bytes) -> str | bytes:
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values), between)[0].as_py()
 
-    pack = struct.pack
-    return CutIds(encode, regex.compile(pre_tokens), REMEMBERED)
+
+@cache
+def _encoder(path: str, pre_tokens: str) -> TextIds:
+    return TextIds(_library(path), regex.compile(pre_tokens), REMEMBERED)
 
 
 def _byte_characters() -> dict[int, str]:
@@ -220,16 +294,17 @@ PACKED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("p
 
 
 def tokenized(df: DataFrame, path: str, pre_tokens: str, end_id: int, text: str = "text") -> DataFrame:
-    """``df`` with ``n_tokens`` and ``packed`` ids (unsigned 32-bit, zstd) of every whole text, with ``end_id`` after each.
+    """``df`` with ``n_tokens`` and ``packed`` ids (their bytes apart, zstd) of every whole text, with ``end_id`` after each.
 
     The ids are those of the library's plain call: a text that holds the string of an added token goes to it whole. A null
     text is empty and has the end id alone; an empty table stays empty.
     """
-    end = np.array([end_id], "<u4").tobytes()
 
     def make() -> Callable[[pa.Array], list]:
         encode, squeeze = _encoder(path, pre_tokens), zstandard.ZstdCompressor(level=1)
         library, added = _library(path), _added(path)
+        width = 2 if max(library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        end = _planes([end_id], width)
 
         def work(texts: pa.Array) -> list:
             whole = np.zeros(len(texts), bool)
@@ -237,23 +312,31 @@ def tokenized(df: DataFrame, path: str, pre_tokens: str, end_id: int, text: str
                 whole |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
             own = {i: texts[i].as_py() for i in np.flatnonzero(whole).tolist()}
             starts, ids = encode(pc.if_else(pa.array(whole), "", texts) if own else texts)
-            rows = [ids[a:b].tobytes() + end for a, b in pairwise(starts.tolist())]
+            planes = _planes(ids, width)
+            rows = [b"".join([p[a:b] + e for p, e in zip(planes, end, strict=True)]) for a, b in pairwise(starts.tolist())]
             for i, t in own.items():
-                rows[i] = np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() + end
-            return [[len(r) // 4 for r in rows], [squeeze.compress(_planes(r)) for r in rows]]
+                rows[i] = b"".join(_planes([*library.encode(t, add_special_tokens=False).ids, end_id], width))
+            return [[len(r) // width for r in rows], [squeeze.compress(r) for r in rows]]
 
         return work
 
-    return map_texts(df, text, PACKED, make)
+    return map_texts(df, text, PACKED, make, CHUNK)
+
 
+def _planes(ids: Sequence[int] | np.ndarray, width: int) -> list[bytes]:
+    """The bytes of each id apart, the upper ones of which squeeze to nothing."""
+    apart = np.asarray(ids).astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    return [apart[:, i].tobytes() for i in range(width)]
 
-def _planes(packed: bytes) -> bytes:
-    """The four bytes of each id apart, the upper ones of which squeeze to nothing."""
-    return np.frombuffer(packed, np.uint8).reshape(-1, 4).T.tobytes()
+
+@cache
+def _expander() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1).T.tobytes(), "<u4")
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(_expander().decompress(data), np.uint8).reshape(-1, n)
+    return np.frombuffer(planes.T.tobytes(), f"<u{len(planes)}")
 
 
 def id_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
@@ -263,11 +346,12 @@ def id_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK_ROWS):
-                total += np.bincount(np.concatenate([_unpacked(x) for x in batch.column("packed").slice(at, CHUNK_ROWS).to_pylist()]), minlength=vocabulary)
+                part = batch.slice(at, CHUNK_ROWS)
+                total += np.bincount(np.concatenate(list(map(_unpacked, part.column("packed").to_pylist(), part.column("n_tokens").to_pylist()))), minlength=vocabulary)
         (seen,) = total.nonzero()
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
-    found = tokens.select("packed").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    found = tokens.select("packed", "n_tokens").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(vocabulary, np.int64)
     for r in found:
         out[r["id"]] = r["n"]
@@ -293,8 +377,8 @@ def _to_blocks(freq: np.ndarray, key: str) -> Callable:
             return pa.RecordBatch.from_pylist(rows, schema=_BLOCK_ARROW)
 
         for batch in batches:
-            for d, x in zip(batch.column(key).to_pylist(), batch.column("packed"), strict=True):
-                own = _unpacked(x.as_py())
+            for d, n, x in zip(batch.column(key).to_pylist(), batch.column("n_tokens").to_pylist(), batch.column("packed"), strict=True):
+                own = _unpacked(x.as_py(), n)
                 docs.append(d)
                 sizes.append(len(own))
                 ids.append(own)
@@ -329,7 +413,7 @@ def write_ids(df: DataFrame, path: str, tokenizer_path: str, pre_tokens: str, en
     tokens = spark.read.schema(T.StructType([T.StructField(key, T.LongType()), *PACKED])).parquet(staged)
     freq = quantised(id_counts(tokens, max(_library(tokenizer_path).get_vocab_size(), end_id + 1)))
     spark.createDataFrame(list(enumerate(freq.tolist())), "id int, freq int").coalesce(1).write.parquet(f"{path}/table")
-    ordered = tokens.select(key, "packed").repartitionByRange(partitions(df), key).sortWithinPartitions(key)
+    ordered = tokens.select(key, "n_tokens", "packed").repartitionByRange(partitions(df), key).sortWithinPartitions(key)
     ordered.mapInArrow(_to_blocks(freq, key), BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
 
 

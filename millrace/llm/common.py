@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +51,8 @@ def add_columns(df: DataFrame, text: str, fields: T.StructType, make: Callable[[
     return df.select(*[F.col(f"`{n}`") for n in kept], F.col(text).cast("string").alias(hidden)).mapInArrow(run, schema)
 
 
-def map_texts(df: DataFrame, text: str, fields: T.StructType, make: Callable[[], Callable[[pa.Array], list]]) -> DataFrame:
-    """As ``add_columns``, but the function takes an Arrow array of whole texts (null is empty) and returns one sequence of values for each new column."""
+def map_texts(df: DataFrame, text: str, fields: T.StructType, make: Callable[[], Callable[[pa.Array], list]], chunk: int = CHUNK_BYTES) -> DataFrame:
+    """As ``add_columns``, but the function takes an Arrow array of whole texts (null is empty; ``chunk`` bytes at once) and returns one sequence of values for each new column."""
     new = {f.name for f in fields}
     kept = [f.name for f in df.schema if f.name not in new]
     schema = T.StructType([df.schema[n] for n in kept] + list(fields))
@@ -66,7 +66,7 @@ def map_texts(df: DataFrame, text: str, fields: T.StructType, make: Callable[[],
             ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
             at = 0
             while at < batch.num_rows:
-                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_BYTES, side="right")))
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + chunk, side="right")))
                 columns = [batch.column(n).slice(at, to - at) for n in kept]
                 columns += [pa.array(x, type=f.type) for x, f in zip(work(texts.slice(at, to - at)), arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=kept + [f.name for f in arrow])
@@ -90,15 +90,75 @@ def pre_tokens(cuts: list[str], pattern: re.Pattern) -> list[Sequence[str]]:
     return [found.groups() if (found := plain(c)) else every(c) for c in cuts]
 
 
-class NumberedCuts:
-    """Texts as sequences of numbers of their cuts, without a Python object for each cut.
+def distinct_cuts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, list[str]]:
+    """Texts as sequences of their distinct cuts, without a Python object for each cut.
 
     No match of the byte-level pre-token pattern goes over a space that is
     followed by something that is not white space, so a text is cut there. A
     part that does not begin so (several spaces, a space before a line end)
     stays joined to the one before.
-    Arrow cuts the texts and finds the distinct cuts of a call. Those that were
-    not met before are numbered on and given to ``learn``. A full memory starts
+
+    Returns where each text's cuts begin (one entry more than texts; each text has a cut), the place of every cut among
+    the distinct ones, and these: first the cuts that begin with such a space, without it, then the first cuts of texts.
+    No text is null.
+    """
+    if not len(texts):
+        return np.zeros(1, np.int64), np.zeros(0, np.int64), pa.array([], pa.string()), []
+    parts = pc.split_pattern(texts, " ")
+    flat, starts = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
+    starts -= starts[0]
+    later = np.ones(len(flat), bool)
+    later[starts[:-1]] = False
+    found = flat.filter(pa.array(later)).dictionary_encode()
+    words, places = found.dictionary, found.indices.to_numpy()
+    begins = flat.take(pa.array(starts[:-1])).to_pylist()
+    bound = _bound(words)  # no cut can be made before these: they belong to the part before
+    numbers = np.empty(len(flat), np.int64)
+    if bound.any():
+        joined = np.zeros(len(flat), bool)
+        joined[later] = bound[places]
+        whole = _whole(flat, joined)
+        numbers[later] = (np.cumsum(~bound) - 1)[places]
+        words = words.filter(pa.array(~bound))
+        longer = dict.fromkeys(w for b, w in whole.items() if later[b])  # each holds a space, so it is none of the words
+        place = dict(zip(longer, range(len(words), len(words) + len(longer)), strict=True))
+        text_of = dict(zip(starts[:-1].tolist(), range(len(begins)), strict=True))
+        for b, w in whole.items():
+            if later[b]:
+                numbers[b] = place[w]
+            else:
+                begins[text_of[b]] = w
+        words = pa.concat_arrays([words, pa.array(longer, words.type)])
+    else:
+        numbers[later] = places
+    firsts = dict(zip(dict.fromkeys(begins), count(len(words)), strict=False))
+    numbers[starts[:-1]] = np.fromiter(map(firsts.__getitem__, begins), np.int64, len(begins))
+    if bound.any():
+        starts = np.concatenate([[0], np.cumsum(~joined)])[starts]
+        numbers = numbers[~joined]
+    return starts, numbers, words, list(firsts)
+
+
+def _bound(words: pa.Array) -> np.ndarray:
+    """The words that are empty or begin with white space."""
+    out = ~pc.match_substring_regex(words, "^[!-~]").to_numpy(zero_copy_only=False)
+    at = np.flatnonzero(out)
+    out[at] = [not w or w[0].isspace() for w in words.take(pa.array(at)).to_pylist()]
+    return out
+
+
+def _whole(flat: pa.Array, joined: np.ndarray) -> dict[int, str]:
+    """By its place, each part that others are joined to, with those."""
+    at = np.flatnonzero(joined)
+    breaks = np.flatnonzero(np.diff(at) > 1)
+    begin, end = at[np.concatenate([[0], breaks + 1])] - 1, at[np.concatenate([breaks, [len(at) - 1]])] + 1
+    return {b: " ".join(flat.slice(b, e - b).to_pylist()) for b, e in zip(begin.tolist(), end.tolist(), strict=True)}
+
+
+class NumberedCuts:
+    """Texts as sequences of numbers of their cuts, which are remembered from call to call.
+
+    Those that were not met before are numbered on and given to ``learn``. A full memory starts
     anew before the next call, with ``forget``.
     """
 
@@ -113,39 +173,12 @@ class NumberedCuts:
         if self.n >= self.size:
             self.first, self.later, self.n = {}, {}, 0
             self.forget()
-        if not len(texts):
-            return np.zeros(1, np.int64), np.zeros(0, np.int64)
-        parts = pc.split_pattern(texts, " ")
-        flat, starts = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
-        starts -= starts[0]
-        later = np.ones(len(flat), bool)
-        later[starts[:-1]] = False
-        found = flat.filter(pa.array(later)).dictionary_encode()
-        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
-        joined = np.zeros(len(flat), bool)  # no cut can be made before these: they belong to the part before
-        joined[later] = np.array([not w or w[0].isspace() for w in words], bool)[found.indices.to_numpy()]
-        numbers = np.empty(len(flat), np.int64)
-        numbers[later] = self._numbers(self.later, words, " ")[found.indices.to_numpy()]
-        firsts = flat.take(pa.array(starts[:-1])).to_pylist()
-        numbers[starts[:-1]] = self._numbers(self.first, firsts, "")
-        if joined.any():
-            whole = self._whole(flat, joined)
-            for known, before, at in ((self.first, "", [b for b in whole if not later[b]]), (self.later, " ", [b for b in whole if later[b]])):
-                numbers[at] = self._numbers(known, [whole[b] for b in at], before)
-            starts = np.concatenate([[0], np.cumsum(~joined)])[starts]
-            numbers = numbers[~joined]
-        return starts, numbers
-
-    @staticmethod
-    def _whole(flat: pa.Array, joined: np.ndarray) -> dict[int, str]:
-        """By its place, each part that others are joined to, with those."""
-        at = np.flatnonzero(joined)
-        breaks = np.flatnonzero(np.diff(at) > 1)
-        begin, end = at[np.concatenate([[0], breaks + 1])] - 1, at[np.concatenate([breaks, [len(at) - 1]])] + 1
-        return {b: " ".join(flat.slice(b, e - b).to_pylist()) for b, e in zip(begin.tolist(), end.tolist(), strict=True)}
+        starts, places, words, begins = distinct_cuts(texts)
+        later = self._numbers(self.later, words.to_numpy(zero_copy_only=False).tolist(), " ")
+        return starts, np.concatenate([later, self._numbers(self.first, begins, "")])[places]
 
     def _numbers(self, known: dict[str, int], cuts: list[str], before: str) -> np.ndarray:
-        new = [c for c in dict.fromkeys(cuts) if c not in known]
+        new = [c for c in cuts if c not in known]
         if new:
             known.update(zip(new, range(self.n, self.n + len(new)), strict=True))
             self.n += len(new)
@@ -185,8 +218,14 @@ class CutIds:
             self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(self.new_ids), "<u4")])
             self.new_ids = []
         sizes = self.sizes[numbers]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
         begin = np.cumsum(self.sizes) - self.sizes
-        at = np.arange(ends[-1])
-        at += np.repeat(begin[numbers] - ends[:-1], sizes)
+        ends, at = spans(begin[numbers], sizes)
         return ends[starts], self.ids[at]
+
+
+def spans(begin: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of an array, one after the other: where each begins in the result (one entry more), and the places that they cover."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(ends[-1])
+    at += np.repeat(begin - ends[:-1], sizes)
+    return ends, at

@@ -2,19 +2,26 @@
 
 import random
 import re
+import sys
 import uuid
 import zlib
 from collections import Counter
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
+import zstandard
 from pyspark.sql import functions as F
+from tokenizers import models
 
 from millrace.llm import ans, content_dedup, hosts, mixing, pii, prefix_bpe, queries, rpforest, simhash, toxicity, trie_counts
 from millrace.session import shared_dir
 
 from . import brute
+from .conftest import ODD
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
@@ -105,6 +112,39 @@ def test_ids_odd_rows(spark, odd, empty):
     assert rows(ans.read_ids(spark, path + "-none")) == []
 
 
+def test_new_words_cost_no_python_call_each():
+    r = np.random.default_rng(1)
+    words = ["".join(chr(97 + c) for c in r.integers(0, 26, 9)) + mark for mark in r.choice(["", ",***", ".\nAt", "'s", "é", " \n "], 20_000)]
+    texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+    encode = ans._encoder.__wrapped__(public_tokenizers.path(queries.TOKENIZER), PATTERN)
+    calls = []
+    sys.setprofile(lambda frame, event, what: calls.append(event) if event.endswith("call") else None)
+    try:
+        starts, ids = encode(pa.array(texts))
+    finally:
+        sys.setprofile(None)
+    made = brute.Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER))
+    assert [ids[a:b].tolist() for a, b in pairwise(starts.tolist())] == [made.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(calls) < len(words)
+
+
+def test_ids_with_a_full_memory_and_missing_bytes(monkeypatch):
+    monkeypatch.setattr(ans, "TO_MODEL", 7)
+    path = public_tokenizers.path(queries.TOKENIZER)
+    made, encode = brute.Tokenizer.from_file(path), ans.TextIds(ans._library(path), regex.compile(PATTERN), 20)
+    some = [t or "" for t in ODD if "<|endoftext|>" not in (t or "")] + ["\n\tif  x:\n\n   y \n", "  two", " one", "end \n", "\x85 \xa0 a \u3000b\x1c c"]
+    for texts in (some, some[3:9], [], [""], some[::-1], some):
+        starts, ids = encode(pa.array(texts, pa.string()))
+        assert [ids[a:b].tolist() for a, b in pairwise(starts.tolist())] == [made.encode(t, add_special_tokens=False).ids for t in texts]
+    for width, ids in ((2, [0, 65535, 2]), (4, [70_000, 0, 1 << 31])):
+        assert ans._unpacked(zstandard.compress(b"".join(ans._planes(ids, width))), len(ids)).tolist() == ids
+    small = brute.Tokenizer(models.BPE({"a": 0, "b": 1, "Ġ": 2, "ab": 3}, [("a", "b")]))
+    small.pre_tokenizer = made.pre_tokenizer
+    texts = ["ab xab", "x", "b axb  ba"]
+    starts, ids = ans.TextIds(small, regex.compile(PATTERN), 20)(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in pairwise(starts.tolist())] == [small.encode(t).ids for t in texts]
+
+
 def test_blocks_of_any_size_and_damage():
     r = np.random.default_rng(0)
     table = ans.Table.of(ans.quantised(np.array([1000, 10, 0, 5, 1])))
